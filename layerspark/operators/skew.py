@@ -25,17 +25,28 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None
     return counts
 
 
+def join_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", broadcast: bool = False
+) -> DataFrame:
+    """Join on the keys, where null equals null; the keys of the left side are kept."""
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    side = right.withColumnsRenamed(names)
+    condition = F.lit(True)
+    for k, name in names.items():
+        condition = condition & F.col(k).eqNullSafe(F.col(name))
+    joined = left.join(F.broadcast(side) if broadcast else side, condition, how)
+    return joined if how in ("left_anti", "left_semi") else joined.drop(*names.values())
+
+
 def split_hot(
     df: DataFrame, keys: Sequence[str], hot: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of ordinary keys, and rows of hot keys with the hot key's columns attached."""
-    side = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_n"))
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & df[k].eqNullSafe(side[f"_h_{k}"])
-    cold = df.join(side, condition, "left_anti")
-    warm = df.join(side, condition, "inner").drop(*[f"_h_{k}" for k in keys])
-    return cold, warm
+    """Rows of ordinary keys, and rows of hot keys with the key's row count ``_n``.
+
+    The hot keys are few (see ``hot_keys``), so both joins broadcast them.
+    """
+    cold = join_keys(df, hot.select(*keys), keys, "left_anti", broadcast=True)
+    return cold, join_keys(df, hot, keys, broadcast=True)
 
 
 def exact_percentiles(
@@ -112,11 +123,8 @@ def _bracketed(
         edges.append(F.col("_min") if p <= 0 else F.col("_max") if p >= 1 else edge)
     packed = F.struct(*[e.alias(f"_e{j}") for j, e in enumerate(edges)]).alias("_e")
     if keys:
-        side = F.broadcast(bounds.select(*[F.col(k).alias(f"_b_{k}") for k in keys], packed))
-        condition = F.lit(True)
-        for k in keys:
-            condition = condition & df[k].eqNullSafe(side[f"_b_{k}"])
-        tagged = df.join(side, condition, "inner")
+        # A row per hot group: as few as the hot keys.
+        tagged = join_keys(df, bounds.select(*keys, packed), keys, broadcast=True)
     else:
         tagged = df.withColumn("_e", bounds.select(packed).scalar())
 

@@ -126,9 +126,17 @@ def geohash_text(code: str, length: int) -> str:
 
 
 def rollup(source: str, cell: str, value: str = "value") -> str:
-    return f"""SELECT {cell} AS cell, count(*) AS count, round(avg({value}), 4) AS mean,
-      round(stddev_pop({value}), 4) AS std, min({value}) AS min, max({value}) AS max,
-      round(quantile_cont({value}, 0.1), 4) AS p10, round(quantile_cont({value}, 0.9), 4) AS p90
+    score = f"({value} / {D(float(q.SCORE_PRIME))})"
+    stats = {
+        "mean": f"avg({score})",
+        "std": f"stddev_pop({score})",
+        "min": f"min({score})",
+        "max": f"max({score})",
+        "p10": f"quantile_cont({score}, 0.1)",
+        "p90": f"quantile_cont({score}, 0.9)",
+    }
+    columns = ", ".join(f"round({text}, 8) AS {name}" for name, text in stats.items())
+    return f"""SELECT {cell} AS cell, count(*) AS count, {columns}
     FROM {source} WHERE {cell} IS NOT NULL AND {value} IS NOT NULL AND NOT isnan({value}) GROUP BY 1"""
 
 
@@ -211,7 +219,7 @@ def registry() -> dict[str, str]:
       CASE WHEN isnan(value) THEN 128 ELSE CAST(floor(({D(1.0)} - {share}) * 255) AS INTEGER) END AS b"""
     bounds = f"WITH {ramp} SELECT round(low, 4) AS low, round(high, 4) AS high FROM edges"
     rolled5 = f"WITH {NULLS}, coded AS (SELECT {geohash_code('lon', 'lat', 5)} AS code, value FROM places_nulls), named AS (SELECT {geohash_text('code', 5)} AS gh, value FROM coded WHERE code IS NOT NULL) {rollup('named', 'gh')}"
-    level6 = f"WITH {PLACES}, coded AS (SELECT {geohash_code('lon', 'lat', 6)} AS code, value FROM places), named AS (SELECT {geohash_text('code', 6)} AS gh, value FROM coded), rolled AS ({rollup('named', 'gh')}) SELECT cell AS cell_id, mean AS dem_mean, std AS dem_std, round(min, 4) AS dem_min, round(max, 4) AS dem_max, p10 AS dem_p10, p90 AS dem_p90 FROM rolled"
+    level6 = f"WITH {PLACES}, coded AS (SELECT {geohash_code('lon', 'lat', 6)} AS code, value FROM places), named AS (SELECT {geohash_text('code', 6)} AS gh, value FROM coded), rolled AS ({rollup('named', 'gh')}) SELECT cell AS cell_id, mean AS dem_mean, std AS dem_std, min AS dem_min, max AS dem_max, p10 AS dem_p10, p90 AS dem_p90 FROM rolled"
     radius = q.RADIUS_M
     band = math.degrees(radius / geo.EARTH_RADIUS_M) * 1.001
     nearest = f"""WITH {NULLS}, {INTERACTIONS}, pairs AS (
@@ -248,7 +256,6 @@ def registry() -> dict[str, str]:
       UNION ALL SELECT 'shapes', CASE WHEN shapes_differ THEN 'geometry_changed' ELSE 'unchanged' END,
         CASE WHEN shapes_differ THEN 'geometry' ELSE '' END, false, false FROM facts
       UNION ALL SELECT 'style', 'props_only', '', true, false FROM facts
-      UNION ALL SELECT 'hover', 'geometry_only', 'name', false, false FROM facts WHERE false
       UNION ALL SELECT 'hover', 'accessors_only', 'name', false, false FROM facts
       UNION ALL SELECT 'gone', 'removed', '', false, false FROM facts
       UNION ALL SELECT 'fresh', 'new', '', false, false FROM facts"""

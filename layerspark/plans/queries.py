@@ -42,6 +42,9 @@ BRUSH_RADIUS_M = 3000.0
 VIEW = {"longitude": -122.45, "latitude": 37.75, "zoom": 12.0}
 HOUR_MS = 3_600_000
 PART_VERTICES = 25
+# Rolled-up values are divided by a prime, so that no mean falls on a decimal tie,
+# which engines round differently.
+SCORE_PRIME = 10007
 
 
 def xy(df: DataFrame, column: str, lon: str = "geom_x", lat: str = "geom_y") -> DataFrame:
@@ -53,6 +56,10 @@ def rgb(df: DataFrame, column: str, names: str = "rgb") -> DataFrame:
     return df.withColumns(channels).drop(column)
 
 
+def scored(df: DataFrame) -> DataFrame:
+    return df.withColumn("score", F.col("value") / F.lit(float(SCORE_PRIME)))
+
+
 def point_spec(layer_id: str = "layer-0", **kw) -> LayerSpec:
     accessors = kw.pop("accessors", {"get_radius": F.col("radius"), "get_fill_color": [255, 0, 0]})
     return LayerSpec(layer_id, "scatterplot", accessors=accessors, **kw)
@@ -74,12 +81,12 @@ def q_scan_cell_stats(spark, sf):
     names = {"mean": "dem_mean", "std": "dem_std", "min": "dem_min", "max": "dem_max", "p10": "dem_p10", "p90": "dem_p90"}
     levels = []
     for level, length in (("L05", 5), ("L06", 6)):
-        rolled = cells.geohash_rollup(fx.places(spark, sf), length, "value")
+        rolled = cells.geohash_rollup(scored(fx.places(spark, sf)), length, "score")
         levels.append(rolled.withColumnsRenamed({**names, "cell": "cell_id"}).withColumn("level", F.lit(level)))
     path = scratch_path(spark, "cell_stats")
     levels[0].unionByName(levels[1]).write.partitionBy("level").parquet(path)
     stats = scan_cell_stats(spark, path, "L06")
-    return stats.select("cell_id", *[F.round(c, 4).alias(c) for c in names.values()])
+    return stats.select("cell_id", *[F.round(c, 8).alias(c) for c in names.values()])
 
 
 def q_gen_points(spark, sf):
@@ -438,20 +445,20 @@ def q_geohash_cell(spark, sf):
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.round(c, 4) for c in ("mean", "std", "p10", "p90")})
+    return df.withColumns({c: F.round(c, 8) for c in cells.STATISTICS})
 
 
 def q_geohash_rollup(spark, sf):
-    return _rounded(cells.geohash_rollup(fx.places_nulls(spark, sf), 5, "value"))
+    return _rounded(cells.geohash_rollup(scored(fx.places_nulls(spark, sf)), 5, "score"))
 
 
 def q_geohash_rollup_hot(spark, sf):
     """The same roll-up with every cell of more than a few rows ranked in two passes."""
-    return _rounded(cells.geohash_rollup(fx.places_nulls(spark, sf), 5, "value", group_rows=20))
+    return _rounded(cells.geohash_rollup(scored(fx.places_nulls(spark, sf)), 5, "score", group_rows=20))
 
 
 def q_h3_rollup(spark, sf):
-    return _rounded(cells.h3_rollup(fx.h3_cells(spark, sf), "cell", 8, "value"))
+    return _rounded(cells.h3_rollup(scored(fx.h3_cells(spark, sf)), "cell", 8, "score"))
 
 
 def q_h3_cells(spark, sf):
@@ -656,7 +663,7 @@ def q_throttle(spark, sf):
 def q_throttle_pieces(spark, sf):
     """The same events with runs cut into small pieces, as very long runs are."""
     happened = fx.interactions(spark, sf).select("event_id", "ts", "session")
-    return th.throttle(happened, ["session"], 24 * HOUR_MS, run_rows=5).select("event_id", "session")
+    return th.throttle(happened, ["session"], 24 * HOUR_MS, run_rows=15).select("event_id", "session")
 
 
 def q_throttle_kinds(spark, sf):

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
+from layerspark.operators.skew import join_keys
+from layerspark.session import materialize
+
 # Fixed value: milliseconds between reported hovers, and between reported views.
 THROTTLE_MS = 200
 # Longest run, and largest piece of a run, handled in one go.
@@ -37,21 +40,43 @@ def throttle(
     tie: str = "event_id",
     run_rows: int = RUN_ROWS,
 ) -> DataFrame:
-    """Events that pass, per key and in time order; equal times go to the lowest tie."""
+    """Events that pass, per key and in time order; equal times go to the lowest tie.
+
+    ``tie`` tells the events of a key apart. Only keys, times and ties take part
+    in the work; whole rows are read once more at the end, by a semi join.
+    """
     interval = interval_ms * 1000
-    columns = events.columns
-    # One row per key and time: the lowest tie, combined before the shuffle.
     timed = events.withColumn("_t", F.unix_micros(F.col(ts).cast("timestamp")))
+    # One row per key and time: the lowest tie, combined before the shuffle.
     first = (
-        timed.where(F.col("_t").isNotNull())
+        timed.where(F.col("_t").isNotNull() & F.col(tie).isNotNull())
         .groupBy(*keys, "_t")
-        .agg(F.min_by(F.struct(*columns), F.col(tie)).alias("_row"))
+        .agg(F.min(tie).alias("_tie"))
+        .withColumn("_slot", F.floor(F.col("_t") / F.lit(interval)))
     )
-    first = first.withColumn("_slot", F.floor(F.col("_t") / F.lit(interval)))
+    slots = _runs(first, keys, interval, run_rows)
+    # Read several times below: written once instead of shuffled each time.
+    joined = materialize(join_keys(first, slots, [*keys, "_slot"]).drop("_slot"), "throttle")
 
-    # A row per key and time slot, whose number is bounded by the time covered.
+    alone = joined.where("_size = 1")
+    several = joined.where("_size > 1").withColumn("_entry", F.col("_start"))
+    long = joined.where(F.col("_size") > run_rows)
+    if not long.isEmpty():
+        entries = _entries(long, keys, interval)
+        several = several.where(F.col("_size") <= run_rows).unionByName(
+            join_keys(long, entries, [*keys, "_run", "_piece"])
+        )
+    columns = [*keys, "_t", "_tie"]
+    passed = alone.select(*columns).unionByName(_walk(several, keys, interval).select(*columns))
+    passed = passed.withColumnRenamed("_tie", tie)
+    return join_keys(timed, passed, [*keys, "_t", tie], "left_semi").drop("_t")
+
+
+def _runs(first: DataFrame, keys: Sequence[str], interval: int, run_rows: int) -> DataFrame:
+    """Run and piece of each occupied time slot; as many rows as the time covered has slots."""
+    # Counting ties keeps this plan the same as the join's other side, whose shuffle is reused.
     slots = first.groupBy(*keys, "_slot").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_from"), F.max("_t").alias("_to")
+        F.count("_tie").alias("_n"), F.min("_t").alias("_from"), F.max("_t").alias("_to")
     )
     in_time = Window.partitionBy(*keys).orderBy("_slot")
     pause = F.col("_from") - F.lag("_to").over(in_time)
@@ -65,19 +90,8 @@ def throttle(
             "_piece": F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / F.lit(run_rows)),
         }
     )
-    slots = slots.withColumn(
-        "_start", F.min("_from").over(Window.partitionBy(*keys, "_run", "_piece"))
-    )
-    joined = _join_slots(first, slots.select(*keys, "_slot", "_run", "_size", "_piece", "_start"), keys)
-
-    alone = joined.where("_size = 1")
-    several = joined.where("_size > 1").withColumn("_entry", F.col("_start"))
-    if not slots.where(F.col("_size") > run_rows).isEmpty():
-        entries = _entries(joined.where(F.col("_size") > run_rows), keys, interval)
-        long = _join_entries(joined.where(F.col("_size") > run_rows), entries, keys)
-        several = several.where(F.col("_size") <= run_rows).unionByName(long)
-    kept = _walk(several, keys, interval)
-    return alone.select("_row.*").unionByName(kept.select("_row.*")).select(*columns)
+    start = F.min("_from").over(Window.partitionBy(*keys, "_run", "_piece"))
+    return slots.select(*keys, "_slot", "_run", "_size", "_piece", start.alias("_start"))
 
 
 def throttle_interactions(
@@ -94,15 +108,6 @@ def throttle_interactions(
     return clicks.unionByName(throttle(others, [session, kind], interval_ms, ts, tie))
 
 
-def _join_slots(first: DataFrame, slots: DataFrame, keys: Sequence[str]) -> DataFrame:
-    condition = first["_slot"] == slots["_slot"]
-    for k in keys:
-        condition = condition & first[k].eqNullSafe(slots[k])
-    return first.join(slots, condition).select(
-        *[first[k] for k in keys], "_t", "_row", "_run", "_size", "_piece", "_start"
-    )
-
-
 def _walk(df: DataFrame, keys: Sequence[str], interval: int) -> DataFrame:
     """Pass through sorted pieces; memory stays at one record batch whatever their size."""
     ordered = df.repartition(*keys, "_run", "_piece").sortWithinPartitions(
@@ -159,11 +164,10 @@ def _entries(df: DataFrame, keys: Sequence[str], interval: int) -> DataFrame:
         rows, until = [], None
         for piece, part in pdf.groupby("_piece", sort=True):
             upto, last = part["_upto"].to_numpy(), part["_last"].to_numpy()
-            entry = int(upto[0]) if until is None else until
+            # A run starts at the time that names it, and its first event passes.
+            entry = int(pdf["_run"].iloc[0]) if until is None else until
             rows.append((piece, entry))
             at = int(np.searchsorted(upto, entry))
-            if until is None:
-                at = 0
             if at < len(upto):
                 until = int(last[at]) + interval
         out = pd.DataFrame(rows, columns=["_piece", "_entry"])
@@ -175,13 +179,6 @@ def _entries(df: DataFrame, keys: Sequence[str], interval: int) -> DataFrame:
     return per_piece.groupBy(*keys, "_run").applyInPandas(chain, entry_schema)
 
 
-def _join_entries(long: DataFrame, entries: DataFrame, keys: Sequence[str]) -> DataFrame:
-    condition = (long["_run"] == entries["_run"]) & (long["_piece"] == entries["_piece"])
-    for k in keys:
-        condition = condition & long[k].eqNullSafe(entries[k])
-    return long.join(entries, condition).select(*[long[c] for c in long.columns], entries["_entry"])
-
-
 def throttle_stream(
     events: DataFrame,
     keys: Sequence[str] = ("session", "kind"),
@@ -216,7 +213,8 @@ def throttle_stream(
         state.update((until,))
         wake = max(until // 1000 + 1, state.getCurrentWatermarkMs() + 1)
         state.setTimeoutTimestamp(wake)
-        yield pdf[kept]
+        if kept.any():
+            yield pdf[kept]
 
     return timed.groupBy(*keys).applyInPandasWithState(
         step, schema, "until long", "append", GroupStateTimeout.EventTimeTimeout
