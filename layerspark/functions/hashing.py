@@ -17,24 +17,42 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# A hash is summed in three parts of this many bits, the top part signed.
+_PART_BITS = 21
+_PART_MASK = (1 << _PART_BITS) - 1
 # Portable text keeps seven decimals of a float: about a centimetre in degrees.
 PORTABLE_SCALE = 10_000_000
 
 
 def row_hash(id_col: Column, column: Column, dtype: DataType, algo: str) -> Column:
-    """Hash of one cell together with its row's id, as a wide decimal to be summed.
+    """Hash of one cell together with its row's id, as a BIGINT.
 
     ``xxhash64`` hashes Spark's own binary form and is the fast default. ``md5``
-    hashes portable text, so that another engine gets the same sum.
+    hashes portable text, so that another engine gets the same number.
     """
     if algo == "xxhash64":
-        return F.xxhash64(id_col, _hashable(column, dtype)).cast("decimal(20,0)")
+        return F.xxhash64(id_col, _hashable(column, dtype))
     if algo == "md5":
         text = F.concat_ws("|", id_col.cast("string"), F.coalesce(portable_text(column, dtype), F.lit("~")))
-        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
+        return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
     raise ValueError(f"unknown hash {algo!r}; use 'xxhash64' or 'md5'")
 
 
+def hash_total(hashed: Column) -> Column:
+    """Sum of BIGINT hashes as text, exact for up to 2**41 rows.
+
+    Three BIGINT sums over parts of the hash stay in the fast hash aggregate;
+    one wide decimal sum would not. They are put together once, at the end.
+    """
+    low = F.sum(hashed.bitwiseAND(F.lit(_PART_MASK)))
+    middle = F.sum(F.shiftright(hashed, _PART_BITS).bitwiseAND(F.lit(_PART_MASK)))
+    high = F.sum(F.shiftright(hashed, 2 * _PART_BITS))
+    wide = lambda part: F.coalesce(part, F.lit(0)).cast("decimal(20,0)")
+    step = F.lit(1 << _PART_BITS).cast("decimal(8,0)")
+    # Narrow factors keep the product inside 38 digits.
+    return (((wide(high) * step + wide(middle)).cast("decimal(28,0)") * step) + wide(low)).cast("string")
+
+
 def _hashable(column: Column, dtype: DataType) -> Column:
     """xxhash64 skips nulls, so say where they are; -0.0 and 0.0 already hash alike."""
     if isinstance(dtype, ArrayType):

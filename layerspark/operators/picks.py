@@ -70,17 +70,18 @@ def nearest_feature(
     id_col: str = "feature_id",
     lon: str = "lon",
     lat: str = "lat",
-    cell_rows: int = 256,
-    max_levels: int = 6,
+    cell_rows: int = 16,
+    max_levels: int = 9,
 ) -> DataFrame:
     """Nearest feature within the radius of each point; ties go to the lowest id.
 
-    Features are counted per grid cell as wide as the radius, so the answer lies
-    in the 3 x 3 cells around a point. Where a cell holds more than ``cell_rows``
-    places, cells are split 8 x 8 again and again (up to ``max_levels`` times).
-    The points then descend: at each level only the occupied cells that can still
-    hold the nearest feature stay, so a crowded cell costs a point a few
-    candidates instead of all its features. Features at one place count once.
+    Grid cells as wide as the radius are split 4 x 4 again and again until no
+    cell holds more than ``cell_rows`` places (or ``max_levels`` is reached), so
+    that a crowded cell never meets its points as a whole. A point first looks
+    at the 3 x 3 smallest cells around it: a feature found there within a cell's
+    width is the nearest. The few points without one descend from the widest
+    cells, and at each level keep only occupied cells that can still hold the
+    nearest feature. Features at one place count once.
     """
     # One row per place, combined before the shuffle: the lowest id wins any tie there.
     places = (
@@ -91,99 +92,97 @@ def nearest_feature(
     asked = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
         point_id, F.col(lon).alias("p_lon"), F.col(lat).alias("p_lat")
     )
-    grid = _Grid(asked, radius_m)
-    places = materialize(
-        places.withColumns(
-            {
-                "_x": grid.column(F.col("f_lon"), max_levels),
-                "_y": grid.row(F.col("f_lat"), max_levels),
-            }
-        ),
-        "places",
-    )
+    grid = _Grid(asked, radius_m, max_levels)
+    cells = grid.cells(F.col("f_lon"), F.col("f_lat"), max_levels)
+    places = materialize(places.withColumns(dict(zip(("_x", "_y"), cells, strict=True))), "places")
     levels = _levels_needed(places, max_levels, cell_rows)
 
-    start = asked.withColumns(
-        {"_cx": grid.column(F.col("p_lon"), 0), "_cy": grid.row(F.col("p_lat"), 0)}
-    )
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    found = start.withColumn("_s", F.explode(steps)).select(
-        point_id,
-        "p_lon",
-        "p_lat",
-        F.pmod(F.col("_cx") + F.col("_s.i"), F.lit(grid.columns).cast("long")).alias("_cx"),
-        (F.col("_cy") + F.col("_s.j")).alias("_cy"),
-    )
-    if grid.columns < 3:
-        found = found.distinct()
+    seen = grid.around(asked, levels, point_id)
+    close = _closest(seen.join(grid.at(places, levels, id_col), ["_cx", "_cy"]), point_id, id_col)
+    within = close.where(F.col("distance_m") <= F.lit(radius_m / 4.0**levels))
+    if levels == 0:
+        return within
+    within = materialize(within, "near")
+    rest = asked.join(within.select(point_id), point_id, "left_anti")
+    found = grid.around(rest, 0, point_id)
     for level in range(1, levels + 1):
-        found = grid.descend(found, places, level, max_levels, point_id, radius_m)
-    down = 3 * (max_levels - levels)
-    keyed = places.select(
-        id_col,
-        "f_lon",
-        "f_lat",
-        F.shiftright("_x", down).alias("_cx"),
-        F.shiftright("_y", down).alias("_cy"),
-    )
+        found = grid.descend(found, places, level, point_id, radius_m)
+    far = _closest(found.join(grid.at(places, levels, id_col), ["_cx", "_cy"]), point_id, id_col)
+    return within.unionByName(far.where(F.col("distance_m") <= F.lit(float(radius_m))))
+
+
+def _closest(pairs: DataFrame, point_id: str, id_col: str) -> DataFrame:
     distance = geo.haversine_m(F.col("p_lon"), F.col("p_lat"), F.col("f_lon"), F.col("f_lat"))
-    pairs = (
-        found.join(keyed, ["_cx", "_cy"])
-        .withColumn("distance_m", distance)
-        .where(F.col("distance_m") <= F.lit(float(radius_m)))
-    )
     best = Window.partitionBy(point_id).orderBy("distance_m", id_col)
     return (
-        pairs.withColumn("_rank", F.row_number().over(best))
+        pairs.withColumn("distance_m", distance)
+        .withColumn("_rank", F.row_number().over(best))
         .where("_rank = 1")
         .select(point_id, id_col, "distance_m")
     )
 
 
 class _Grid:
-    """Lon/lat grid whose level-0 cells are at least as wide and high as the radius."""
+    """Lon/lat grid; a cell of level k is at least radius / 4**k wide and high at the points."""
 
-    def __init__(self, points: DataFrame, radius_m: float):
+    def __init__(self, points: DataFrame, radius_m: float, max_levels: int):
         top = points.agg(F.max(F.abs("p_lat"))).first()[0] or 0.0
         west, south, east, north = geo.radius_box(0.0, float(top), radius_m)
-        reach_lon, reach_lat = (east - west) / 2, (north - south) / 2
-        # At least the radius plus a little, so that rounding cannot hide a neighbour.
-        self.columns = max(1, int(360.0 / (reach_lon * 1.0001)))
-        self.rows = max(1, int(180.0 / max(reach_lat * 1.0001, 1e-9)))
-
-    def column(self, lon, level: int):
-        n = self.columns << (3 * level)
-        raw = F.floor((lon + F.lit(180.0)) / F.lit(360.0) * F.lit(float(n)))
-        return F.pmod(raw, F.lit(n).cast("long"))
-
-    def row(self, lat, level: int):
-        n = self.rows << (3 * level)
-        raw = F.floor((lat + F.lit(90.0)) / F.lit(180.0) * F.lit(float(n)))
-        return F.least(F.greatest(raw, F.lit(0).cast("long")), F.lit(n - 1).cast("long"))
-
-    def descend(self, found, places, level, max_levels, point_id, radius_m):
+        # A little wider, so that rounding cannot hide a neighbour.
+        self.columns = max(1, int(360.0 / ((east - west) / 2 * 1.0001)))
+        self.rows = max(1, int(180.0 / ((north - south) / 2 * 1.0001)))
+        self.max_levels = max_levels
+
+    def cells(self, lon, lat, level: int):
+        across, up = self.columns << (2 * level), self.rows << (2 * level)
+        x = F.floor((lon + F.lit(180.0)) / F.lit(360.0) * F.lit(float(across)))
+        y = F.floor((lat + F.lit(90.0)) / F.lit(180.0) * F.lit(float(up)))
+        top = F.lit(up - 1).cast("long")
+        return F.pmod(x, F.lit(across).cast("long")), F.least(F.greatest(y, F.lit(0).cast("long")), top)
+
+    def at(self, places: DataFrame, level: int, id_col: str) -> DataFrame:
+        down = 2 * (self.max_levels - level)
+        cell = [F.shiftright("_x", down).alias("_cx"), F.shiftright("_y", down).alias("_cy")]
+        return places.select(id_col, "f_lon", "f_lat", *cell)
+
+    def around(self, points: DataFrame, level: int, point_id: str) -> DataFrame:
+        """Each point with the 3 x 3 cells around it; columns wrap at the antimeridian."""
+        x, y = self.cells(F.col("p_lon"), F.col("p_lat"), level)
+        across = self.columns << (2 * level)
+        moves = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+        near = points.withColumns({"_px": x, "_py": y, "_m": F.explode(F.array(*moves))}).select(
+            point_id,
+            "p_lon",
+            "p_lat",
+            F.pmod(F.col("_px") + F.col("_m.i"), F.lit(across).cast("long")).alias("_cx"),
+            (F.col("_py") + F.col("_m.j")).alias("_cy"),
+        )
+        return near.distinct() if across < 3 else near
+
+    def descend(
+        self, found: DataFrame, places: DataFrame, level: int, point_id: str, radius_m: float
+    ) -> DataFrame:
         """Occupied child cells that can still hold the nearest feature of each point."""
-        down = 3 * (max_levels - level)
-        cells = places.select(
+        down = 2 * (self.max_levels - level)
+        inner = places.select(
             F.shiftright("_x", down).alias("_kx"), F.shiftright("_y", down).alias("_ky")
         ).distinct()
-        cells = cells.withColumns({"_cx": F.shiftright("_kx", 3), "_cy": F.shiftright("_ky", 3)})
-        children = found.join(cells, ["_cx", "_cy"]).drop("_cx", "_cy")
-        width = 360.0 / (self.columns << (3 * level))
-        height = 180.0 / (self.rows << (3 * level))
-        west = F.col("_kx") * F.lit(width) - F.lit(180.0)
-        south = F.col("_ky") * F.lit(height) - F.lit(90.0)
-        mid_lon, mid_lat = west + F.lit(width / 2), south + F.lit(height / 2)
-        # No place of a cell is further from its middle than this many metres.
-        half = F.lit(geo.EARTH_RADIUS_M * math.radians(width / 2 + height / 2))
+        inner = inner.withColumns({"_cx": F.shiftright("_kx", 2), "_cy": F.shiftright("_ky", 2)})
+        children = found.join(inner, ["_cx", "_cy"]).drop("_cx", "_cy")
+        width = 360.0 / (self.columns << (2 * level))
+        height = 180.0 / (self.rows << (2 * level))
+        mid_lon = (F.col("_kx") + F.lit(0.5)) * F.lit(width) - F.lit(180.0)
+        mid_lat = (F.col("_ky") + F.lit(0.5)) * F.lit(height) - F.lit(90.0)
         middle = geo.haversine_m(F.col("p_lon"), F.col("p_lat"), mid_lon, mid_lat)
-        children = children.withColumns(
-            {"_near": middle - half - F.lit(1e-3), "_far": middle + half + F.lit(1e-3)}
-        )
-        of_point = Window.partitionBy(point_id)
+        # No place of a cell is further from its middle than half a diagonal, plus a millimetre.
+        chord = min(1.0, math.hypot(math.radians(width / 2), math.radians(height / 2)) / 2)
+        half = 2 * geo.EARTH_RADIUS_M * math.asin(chord) + 1e-3
+        nearest = F.min("_middle").over(Window.partitionBy(point_id))
+        bound = F.least(nearest + F.lit(half), F.lit(float(radius_m)))
         return (
-            children.withColumn("_bound", F.least(F.min("_far").over(of_point), F.lit(float(radius_m))))
-            .where(F.col("_near") <= F.col("_bound"))
+            children.withColumn("_middle", middle)
+            .withColumn("_bound", bound)
+            .where(F.col("_middle") - F.lit(half) <= F.col("_bound"))
             .select(point_id, "p_lon", "p_lat", F.col("_kx").alias("_cx"), F.col("_ky").alias("_cy"))
         )
 
@@ -191,13 +190,9 @@ class _Grid:
 def _levels_needed(places: DataFrame, max_levels: int, cell_rows: int) -> int:
     """Fewest splits after which no cell holds more than ``cell_rows`` places."""
     for level in range(max_levels):
-        down = 3 * (max_levels - level)
-        fullest = (
-            places.groupBy(F.shiftright("_x", down), F.shiftright("_y", down))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.max("n"))
-            .first()[0]
-        )
-        if (fullest or 0) <= cell_rows:
+        down = 2 * (max_levels - level)
+        cell = [F.shiftright("_x", down), F.shiftright("_y", down)]
+        full = places.groupBy(*cell).count().where(F.col("count") > cell_rows)
+        if full.isEmpty():
             return level
     return max_levels

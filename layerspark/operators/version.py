@@ -8,33 +8,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerspark.functions.hashing import row_hash
+from layerspark.functions.hashing import hash_total, row_hash
 from layerspark.spec import LayerSpec, geometry_columns, to_json
 
 
-def fingerprint_sums(df: DataFrame, id_col: str, algo: str = "xxhash64") -> dict[str, Column]:
-    """Per column, the sum of its row hashes: the same in any row order."""
-    return {
-        f.name: F.coalesce(
-            F.sum(row_hash(F.col(id_col), F.col(f"`{f.name}`"), f.dataType, algo)),
-            F.lit(0).cast("decimal(30,0)"),
-        ).cast("string")
-        for f in df.schema.fields
-    }
+def hashed_rows(
+    df: DataFrame, id_col: str, algo: str = "xxhash64", keep: Sequence[Column] = ()
+) -> DataFrame:
+    """Row hashes of every column as ``_h0``, ``_h1``, ..., next to the kept expressions."""
+    hashes = [
+        row_hash(F.col(id_col), F.col(f"`{f.name}`"), f.dataType, algo).alias(f"_h{i}")
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return df.select(*keep, *hashes)
+
+
+def fingerprint_sums(names: Sequence[str]) -> dict[str, Column]:
+    """Per column of ``hashed_rows``, the sum of its hashes: the same in any row order."""
+    return {name: hash_total(F.col(f"_h{i}")) for i, name in enumerate(names)}
+
+
+def fingerprint_map(names: Sequence[str]) -> Column:
+    pairs = [x for name, total in fingerprint_sums(names).items() for x in (F.lit(name), total)]
+    return F.create_map(*pairs)
 
 
 def column_fingerprints(
     df: DataFrame, id_col: str = "feature_id", algo: str = "xxhash64"
 ) -> DataFrame:
     """One row per column: its name, fingerprint and number of rows; one pass over the data."""
-    sums = fingerprint_sums(df, id_col, algo)
-    entries = [
-        F.struct(F.lit(name).alias("column"), value.alias("fingerprint")) for name, value in sums.items()
-    ]
-    packed = df.agg(F.array(*entries).alias("_f"), F.count(F.lit(1)).alias("rows"))
-    return packed.select(F.explode("_f").alias("_e"), "rows").select(
-        "_e.column", "_e.fingerprint", "rows"
+    packed = hashed_rows(df, id_col, algo).agg(
+        fingerprint_map(df.columns).alias("_f"), F.count(F.lit(1)).alias("rows")
     )
+    return packed.select(F.explode("_f").alias("column", "fingerprint"), "rows")
 
 
 def joined_fingerprint(names: Sequence[str], prints: Column) -> Column:
@@ -60,9 +66,10 @@ def geometry_fingerprint(
 ) -> DataFrame:
     """One row: the joined fingerprint of the columns that decide the shapes, and the row count."""
     names = geometry_columns(df.schema, spec.layer_type)
-    sums = fingerprint_sums(df.select(spec.id_col, *names), spec.id_col, algo)
-    pairs = [x for n in [spec.id_col, *names] for x in (F.lit(n), sums[n])]
-    packed = df.agg(F.create_map(*pairs).alias("_m"), F.count(F.lit(1)).alias("rows"))
+    shapes = df.select(spec.id_col, *names)
+    packed = hashed_rows(shapes, spec.id_col, algo).agg(
+        fingerprint_map(shapes.columns).alias("_m"), F.count(F.lit(1)).alias("rows")
+    )
     return packed.select(joined_fingerprint(names, F.col("_m")).alias("geometry_fp"), "rows")
 
 

@@ -336,7 +336,7 @@ def q_nearest_feature(spark, sf):
 
 def q_nearest_feature_dense(spark, sf):
     """The same answer by the descent that crowded cells take."""
-    return _nearest(spark, sf, cell_rows=2, max_levels=3)
+    return _nearest(spark, sf, cell_rows=1, max_levels=4)
 
 
 def _flat_verdicts(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from typing import Any
 
@@ -16,7 +17,8 @@ from layerspark.operators.size import encoding_for, requested_encoding
 from layerspark.operators.style import trip_times_to_float
 from layerspark.operators.version import (
     diff_layers,
-    fingerprint_sums,
+    fingerprint_map,
+    hashed_rows,
     joined_fingerprint,
     props_fingerprint,
 )
@@ -40,14 +42,14 @@ def prepare_layer(df: DataFrame, spec: LayerSpec, time_unit: str = "us") -> Data
 def profile_layer(layer: DataFrame, spec: LayerSpec, algo: str = "xxhash64") -> DataFrame:
     """Size, encoding, fingerprints and broken rules of a prepared layer: one pass, one row."""
     geometry = geometry_columns(layer.schema, spec.layer_type)
-    sums = fingerprint_sums(layer, spec.id_col, algo)
-    pairs = [x for name, value in sums.items() for x in (F.lit(name), value)]
     rules = row_rules(layer.schema, spec)
-    counts = [x for name, broken in rules.items() for x in (F.lit(name), F.count(F.when(broken, 1)))]
-    facts = layer.agg(
+    tests = [broken.alias(f"_r{i}") for i, broken in enumerate(rules.values())]
+    rows = hashed_rows(layer, spec.id_col, algo, [row_width(layer.schema).alias("_w"), *tests])
+    counts = [x for i, name in enumerate(rules) for x in (F.lit(name), F.count(F.when(F.col(f"_r{i}"), 1)))]
+    facts = rows.agg(
         F.count(F.lit(1)).alias("num_rows"),
-        F.coalesce(F.ceil(F.sum(row_width(layer.schema))), F.lit(0)).cast("long").alias("bytes"),
-        F.create_map(*pairs).alias("column_fps"),
+        F.coalesce(F.ceil(F.sum("_w")), F.lit(0)).cast("long").alias("bytes"),
+        fingerprint_map(layer.columns).alias("column_fps"),
         F.create_map(*counts).alias("broken"),
     )
     return facts.select(
@@ -115,7 +117,8 @@ def write_map(
         )
         prepared.append((layer, spec, facts["encoding"]))
     if max_mb is not None:
-        check_budget(spark.createDataFrame([(r["layer_id"], r["bytes"]) for r in rows], "layer_id string, bytes long"), max_mb)
+        sizes = [(r["layer_id"], r["bytes"]) for r in rows]
+        check_budget(spark.createDataFrame(sizes, "layer_id string, bytes long"), max_mb)
 
     verdicts, old = _compare(spark, rows, previous)
     for row, (layer, spec, encoding) in zip(rows, prepared, strict=True):
@@ -130,7 +133,8 @@ def write_map(
         if verdict == "accessors_only":
             columns = sorted(set(changed) | set(before["patch_columns"] or []))
             target = f"{path}/patches/{spec.layer_id}/{tag}"
-            length = _encode(layer.select(spec.id_col, *[c for c in columns if c != spec.id_col]), spec, encoding, target, rows_per_batch)
+            slim = layer.select(spec.id_col, *[c for c in columns if c != spec.id_col])
+            length = _encode(slim, spec, row, encoding, target, rows_per_batch)
             row.update(
                 data_path=before["data_path"],
                 patch_path=target,
@@ -141,14 +145,18 @@ def write_map(
         else:
             target = f"{path}/layers/{spec.layer_id}/{tag}"
             row["data_path"] = target
-            row["byte_length"] = _encode(layer, spec, encoding, target, rows_per_batch)
+            row["byte_length"] = _encode(layer, spec, row, encoding, target, rows_per_batch)
     manifest = manifest_frame(spark, rows)
     write_manifest(manifest, f"{path}/manifest")
     return manifest
 
 
-def _encode(layer: DataFrame, spec: LayerSpec, encoding: str, target: str, rows: int) -> int:
-    encoded = encode_layer(layer, spec.layer_id, encoding, rows, spec.id_col)
+def _encode(
+    layer: DataFrame, spec: LayerSpec, row: dict[str, Any], encoding: str, target: str, per_batch: int
+) -> int:
+    encoded = encode_layer(
+        layer, spec.layer_id, encoding, per_batch, spec.id_col, num_rows=row["num_rows"]
+    )
     encoded.write.mode("overwrite").option("compression", "none").parquet(target)
     written = layer.sparkSession.read.parquet(target)
     return written.agg(F.coalesce(F.sum("byte_length"), F.lit(0)).alias("b")).first()["b"]
@@ -173,7 +181,5 @@ def _refuse_broken(broken: dict[str, int], spec: LayerSpec) -> None:
 
 
 def _content_tag(row: dict[str, Any]) -> str:
-    import hashlib
-
     text = f"{row['num_rows']}|" + "|".join(f"{k}:{v}" for k, v in sorted(row["column_fps"].items()))
     return hashlib.sha256(text.encode()).hexdigest()[:16]

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from layerspark.functions.widths import fixed_list
@@ -19,7 +20,6 @@ ROWS_PER_BATCH = 500_000
 PAYLOAD_SCHEMA = (
     "layer_id string, batch_id long, num_rows long, encoding string, byte_length long, payload binary"
 )
-_HELPERS = ("batch_id", "row_index")
 
 
 def encode_layer(
@@ -29,16 +29,24 @@ def encode_layer(
     rows_per_batch: int = ROWS_PER_BATCH,
     id_col: str = "feature_id",
     keep_id: bool = True,
+    num_rows: int | None = None,
 ) -> DataFrame:
     """One row per batch with its encoded bytes.
 
     Batches follow the id order alone, so equal content gives equal bytes however
-    the input was partitioned. Each batch is encoded in the task that holds it.
+    the input was partitioned. Each batch is encoded in the task that holds it. A
+    layer known or counted to fit one batch is only sorted; a bigger one is
+    numbered first.
     """
     if encoding not in ENCODINGS:
         raise ValueError(f"unknown encoding {encoding!r}")
-    batched = assign_batches(df, rows_per_batch, [id_col])
-    ordered = batched.repartition("batch_id").sortWithinPartitions("batch_id", "row_index")
+    if num_rows is None:
+        num_rows = df.limit(rows_per_batch + 1).count()
+    if num_rows <= rows_per_batch:
+        ordered = df.withColumn("batch_id", F.lit(0).cast("long")).repartition(1).sortWithinPartitions(id_col)
+    else:
+        batched = assign_batches(df, rows_per_batch, [id_col]).drop("row_index")
+        ordered = batched.repartition("batch_id").sortWithinPartitions("batch_id", id_col)
     names = [c for c in df.columns if keep_id or c != id_col]
     plan = _wire_plan(df.schema, names)
 
@@ -150,7 +158,7 @@ def _wire_plan(schema: StructType, names: list[str]) -> list[tuple[str, str, dic
 def _emit(
     held: list[pa.RecordBatch], plan: list, layer_id: str, batch_id: int, encoding: str
 ) -> pa.RecordBatch:
-    source = pa.Table.from_batches(held).drop_columns(list(_HELPERS)).combine_chunks()
+    source = pa.Table.from_batches(held).drop_columns(["batch_id"]).combine_chunks()
     arrays, fields = [], []
     for name, shape, meta in plan:
         array = _to_wire(_one_chunk(source.column(name)), shape)
