@@ -38,19 +38,20 @@ def row_hash(id_col: Column, column: Column, dtype: DataType, algo: str) -> Colu
     raise ValueError(f"unknown hash {algo!r}; use 'xxhash64' or 'md5'")
 
 
-def hash_total(hashed: Column) -> Column:
-    """Sum of BIGINT hashes as text, exact for up to 2**41 rows.
+def hash_total(name: str) -> Column:
+    """Sum of a BIGINT hash column as text, exact for up to 2**41 rows.
 
     Three BIGINT sums over parts of the hash stay in the fast hash aggregate;
-    one wide decimal sum would not. They are put together once, at the end.
+    one wide decimal sum would not. They are put together once, at the end, in
+    steps that keep within 38 digits.
     """
-    low = F.sum(hashed.bitwiseAND(F.lit(_PART_MASK)))
-    middle = F.sum(F.shiftright(hashed, _PART_BITS).bitwiseAND(F.lit(_PART_MASK)))
-    high = F.sum(F.shiftright(hashed, 2 * _PART_BITS))
-    wide = lambda part: F.coalesce(part, F.lit(0)).cast("decimal(20,0)")
-    step = F.lit(1 << _PART_BITS).cast("decimal(8,0)")
-    # Narrow factors keep the product inside 38 digits.
-    return (((wide(high) * step + wide(middle)).cast("decimal(28,0)") * step) + wide(low)).cast("string")
+    low = f"sum({name} & {_PART_MASK})"
+    middle = f"sum(shiftright({name}, {_PART_BITS}) & {_PART_MASK})"
+    high = f"sum(shiftright({name}, {2 * _PART_BITS}))"
+    wide = lambda part: f"cast(coalesce({part}, 0) as decimal(20,0))"
+    step = f"cast({1 << _PART_BITS} as decimal(8,0))"
+    upper = f"cast({wide(high)} * {step} + {wide(middle)} as decimal(28,0))"
+    return F.expr(f"cast({upper} * {step} + {wide(low)} as string)")
 
 
 def _hashable(column: Column, dtype: DataType) -> Column:

@@ -38,19 +38,19 @@ def cell_rollup(
     """
     v = F.col(value).cast("double")
     clean = df.where(F.col(cell).isNotNull() & v.isNotNull() & ~F.isnan(v))
-    plain = clean.groupBy(cell).agg(
+    plain = [
         F.count(F.lit(1)).alias(f"{prefix}count"),
         F.avg(v).alias(f"{prefix}mean"),
         F.stddev_pop(v).alias(f"{prefix}std"),
         F.min(v).alias(f"{prefix}min"),
         F.max(v).alias(f"{prefix}max"),
-    )
+    ]
     if not percentiles:
-        return plain
-    ranked = exact_percentiles(
-        clean, [cell], value, [LOW_SHARE, HIGH_SHARE], [f"{prefix}p10", f"{prefix}p90"], group_rows
+        return clean.groupBy(cell).agg(*plain)
+    names = [f"{prefix}p10", f"{prefix}p90"]
+    return exact_percentiles(
+        clean, [cell], value, [LOW_SHARE, HIGH_SHARE], names, group_rows, also=plain
     )
-    return plain.join(ranked, cell)
 
 
 def geohash_rollup(

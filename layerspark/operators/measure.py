@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerspark.operators.skew import GROUP_ROWS, exact_percentiles
@@ -25,13 +25,17 @@ def bench_summary(
 ) -> DataFrame:
     """Median time and bytes per size and mode, and bytes against the plain mode."""
     keys = [*by, mode]
-    bytes_per = runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("runs"), F.max(size).alias(size))
-    medians = exact_percentiles(runs, keys, ms, [0.5], ["median_ms"], group_rows)
-    summary = bytes_per.join(medians, keys)
-    base = summary.where(F.col(mode) == plain).select(
-        *by, F.col(size).alias("plain_bytes"), F.col("median_ms").alias("plain_ms")
-    )
-    return summary.join(base, list(by), "left").withColumn("ratio", F.col(size) / F.col("plain_bytes"))
+    plain_facts = [F.count(F.lit(1)).alias("runs"), F.max(size).alias(size)]
+    summary = exact_percentiles(runs, keys, ms, [0.5], ["median_ms"], group_rows, also=plain_facts)
+    # A row per size and mode is left: the plain mode's row is found by a window, not a join.
+    same = Window.partitionBy(*by)
+    is_plain = F.col(mode) == plain
+    return summary.withColumns(
+        {
+            "plain_bytes": F.max(F.when(is_plain, F.col(size))).over(same),
+            "plain_ms": F.max(F.when(is_plain, F.col("median_ms"))).over(same),
+        }
+    ).withColumn("ratio", F.col(size) / F.col("plain_bytes"))
 
 
 def break_even(summary: DataFrame, size: str = "wire_bytes") -> DataFrame:

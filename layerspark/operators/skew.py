@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Largest group handed to one task as a whole.
@@ -57,37 +57,55 @@ def exact_percentiles(
     names: Sequence[str],
     group_rows: int = GROUP_ROWS,
     accuracy: int = BRACKET_ACCURACY,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """Exact percentiles with linear interpolation; null and NaN are left out.
 
     Ordinary groups use the built-in ``percentile``, whose buffer holds a group's
-    distinct values. A group of more than ``group_rows`` rows is ranked in two
-    passes instead: see ``_bracketed``.
+    distinct values, together with the ``also`` aggregates in one grouping. A
+    group of more than ``group_rows`` values is ranked in two passes instead: see
+    ``_bracketed``.
     """
-    clean = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(
-        *keys, F.col(value).cast("double").alias("_v")
-    )
-    hot = hot_keys(clean, keys, group_rows)
+    v = F.col(value).cast("double")
+    valued = df.withColumn("_v", F.when(~F.isnan(v), v))
+    known = valued.where(F.col("_v").isNotNull())
+    hot = hot_keys(known, keys, group_rows)
     if hot is None:
-        return _built_in(clean, keys, probs, names)
+        return _built_in(valued, keys, probs, names, also)
     # With more than "accuracy" rows in every hot group a bracket spans several ranks.
     accuracy = min(accuracy, group_rows)
     if not keys:
         n = hot.first()["_n"]
-        return _bracketed(clean.withColumn("_n", F.lit(n)), keys, probs, names, accuracy)
-    cold, warm = split_hot(clean, keys, hot)
-    return _built_in(cold, keys, probs, names).unionByName(
-        _bracketed(warm, keys, probs, names, accuracy)
-    )
+        ranked = _bracketed(known.select("_v", F.lit(n).alias("_n")), keys, probs, names, accuracy)
+        return ranked.select(*names) if not also else _beside(valued.agg(*also), ranked, names)
+    cold, _ = split_hot(valued, keys, hot)
+    _, warm = split_hot(known.select(*keys, "_v"), keys, hot)
+    ranked = _bracketed(warm, keys, probs, names, accuracy)
+    if also:
+        # A row per hot group on either side.
+        extra = join_keys(valued, hot.select(*keys), keys, "left_semi", broadcast=True)
+        ranked = join_keys(extra.groupBy(*keys).agg(*also), ranked, keys, broadcast=True)
+    return _built_in(cold, keys, probs, names, also).unionByName(ranked)
+
+
+def _beside(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Two one-row tables next to each other, without a join."""
+    packed = right.select(F.struct(*names).alias("_r")).scalar()
+    wide = left.withColumn("_r", packed)
+    return wide.select(*left.columns, *[F.col(f"_r.{n}").alias(n) for n in names])
 
 
 def _built_in(
-    df: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str]
+    df: DataFrame,
+    keys: Sequence[str],
+    probs: Sequence[float],
+    names: Sequence[str],
+    also: Sequence[Column],
 ) -> DataFrame:
-    packed = df.groupBy(*keys).agg(
-        F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_p")
-    )
-    return packed.select(*keys, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    ranks = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs])).alias("_p")
+    packed = df.groupBy(*keys).agg(*also, ranks)
+    kept = [c for c in packed.columns if c != "_p"]
+    return packed.select(*kept, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
 
 
 def _bracketed(

@@ -25,7 +25,7 @@ def hashed_rows(
 
 def fingerprint_sums(names: Sequence[str]) -> dict[str, Column]:
     """Per column of ``hashed_rows``, the sum of its hashes: the same in any row order."""
-    return {name: hash_total(F.col(f"_h{i}")) for i, name in enumerate(names)}
+    return {name: hash_total(f"_h{i}") for i, name in enumerate(names)}
 
 
 def fingerprint_map(names: Sequence[str]) -> Column:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from layerspark.sinks.encode import ROWS_PER_BATCH, encode_layer
 from layerspark.sinks.manifest import manifest_frame, manifest_row, write_manifest
 from layerspark.spec import LayerSpec, MapSpec, geometry_columns
 
+LAYERS_AT_ONCE = 8
 KEEP_DATA = ("unchanged", "tooltip_only", "props_only")
 
 
@@ -70,13 +72,17 @@ def manifest_of(
     """What a version comparison needs to know of one layer: one row."""
     layer = prepare_layer(df, spec)
     hover = layer_tooltip(df, spec)
-    return profile_layer(layer, spec, algo).select(
-        "layer_id",
+    geometry = geometry_columns(layer.schema, spec.layer_type)
+    facts = hashed_rows(layer, spec.id_col, algo).agg(
+        F.count(F.lit(1)).alias("num_rows"), fingerprint_map(layer.columns).alias("column_fps")
+    )
+    return facts.select(
+        F.lit(spec.layer_id).alias("layer_id"),
         F.lit(position).alias("position"),
         "num_rows",
         "column_fps",
-        "geometry_fp",
-        "props_fp",
+        joined_fingerprint(geometry, F.col("column_fps")).alias("geometry_fp"),
+        F.lit(props_fingerprint(spec)).alias("props_fp"),
         F.lit(",".join(hover) if hover else None).cast("string").alias("tooltip"),
     )
 
@@ -102,10 +108,10 @@ def write_map(
     ids = [spec.layer_id for _, spec in layers]
     if len(set(ids)) != len(ids):
         raise ValueError("layer ids of a map must differ")
+    tables = [prepare_layer(df, spec, time_unit) for df, spec in layers]
+    profiles = _together(lambda i: profile_layer(tables[i], layers[i][1]).first().asDict(), len(layers))
     prepared, rows = [], []
-    for position, (df, spec) in enumerate(layers):
-        layer = prepare_layer(df, spec, time_unit)
-        facts = profile_layer(layer, spec).first().asDict()
+    for position, ((df, spec), layer, facts) in enumerate(zip(layers, tables, profiles, strict=True)):
         if strict:
             _refuse_broken(facts["broken"], spec)
         hover = layer_tooltip(df, spec)
@@ -121,17 +127,20 @@ def write_map(
         check_budget(spark.createDataFrame(sizes, "layer_id string, bytes long"), max_mb)
 
     verdicts, old = _compare(spark, rows, previous)
-    for row, (layer, spec, encoding) in zip(rows, prepared, strict=True):
+
+    def store(i: int) -> None:
+        row, (layer, spec, encoding) = rows[i], prepared[i]
         verdict, changed = verdicts.get(spec.layer_id, ("new", []))
         before = old.get(spec.layer_id)
         if verdict in KEEP_DATA:
             for key in ("data_path", "patch_path", "patch_columns", "byte_length", "body_encoding"):
                 row[key] = before[key]
-            continue
+            return
         # The folder is named after the content, so versions never overwrite each other.
         tag = _content_tag(row)
         if verdict == "accessors_only":
-            columns = sorted(set(changed) | set(before["patch_columns"] or []))
+            # A column that only the old version had needs no data: the manifest drops it.
+            columns = sorted((set(changed) | set(before["patch_columns"] or [])) & set(layer.columns))
             target = f"{path}/patches/{spec.layer_id}/{tag}"
             slim = layer.select(spec.id_col, *[c for c in columns if c != spec.id_col])
             length = _encode(slim, spec, row, encoding, target, rows_per_batch)
@@ -146,11 +155,21 @@ def write_map(
             target = f"{path}/layers/{spec.layer_id}/{tag}"
             row["data_path"] = target
             row["byte_length"] = _encode(layer, spec, row, encoding, target, rows_per_batch)
+
+    _together(store, len(rows))
     manifest = manifest_frame(spark, rows)
     write_manifest(manifest, f"{path}/manifest")
     return manifest
 
 
+def _together(task: Callable[[int], Any], count: int) -> list[Any]:
+    """Jobs of independent layers side by side, so that small layers do not wait for big ones."""
+    if count == 1:
+        return [task(0)]
+    with ThreadPoolExecutor(max_workers=min(count, LAYERS_AT_ONCE)) as pool:
+        return list(pool.map(task, range(count)))
+
+
 def _encode(
     layer: DataFrame, spec: LayerSpec, row: dict[str, Any], encoding: str, target: str, per_batch: int
 ) -> int:

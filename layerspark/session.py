@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a bounded count shows at most this many rows.
+# A side is broadcast only when a count shows at most this many rows.
 BROADCAST_ROWS = 100_000
 
 
@@ -25,6 +25,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call sites per column expression cost more than building the expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -63,7 +65,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after a bounded count; otherwise leave the join to AQE."""
-    if df.limit(max_rows + 1).count() <= max_rows:
+    """Hint a broadcast only after a count; otherwise leave the join to AQE.
+
+    The count is a plain aggregate: a limit before it would send that many rows of
+    every partition to one task.
+    """
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df

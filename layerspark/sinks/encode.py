@@ -41,7 +41,7 @@ def encode_layer(
     if encoding not in ENCODINGS:
         raise ValueError(f"unknown encoding {encoding!r}")
     if num_rows is None:
-        num_rows = df.limit(rows_per_batch + 1).count()
+        num_rows = df.count()
     if num_rows <= rows_per_batch:
         ordered = df.withColumn("batch_id", F.lit(0).cast("long")).repartition(1).sortWithinPartitions(id_col)
     else:
@@ -161,7 +161,7 @@ def _emit(
     source = pa.Table.from_batches(held).drop_columns(["batch_id"]).combine_chunks()
     arrays, fields = [], []
     for name, shape, meta in plan:
-        array = _to_wire(_one_chunk(source.column(name)), shape)
+        array = _to_wire(_one_chunk(source.column(name)), shape, encoding)
         arrays.append(array)
         fields.append(pa.field(name, array.type, metadata=meta or None))
     body = table_bytes(pa.Table.from_arrays(arrays, schema=pa.schema(fields)), encoding)
@@ -178,7 +178,11 @@ def _emit(
     )
 
 
-def _to_wire(array: pa.Array, shape: str) -> pa.Array:
+def _to_wire(array: pa.Array, shape: str, encoding: str) -> pa.Array:
+    if encoding == "parquet" and array.null_count and shape in ("color", "fixed"):
+        # Parquet holds no null lists of fixed length: such a column stays variable.
+        element = pa.uint8() if shape == "color" else array.type.value_type
+        return array.cast(pa.list_(pa.field("element", element)))
     if shape == "uint64":
         return array.cast(pa.decimal128(20, 0)).cast(pa.uint64())
     if shape == "color":
