@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def utc(column: str) -> Column:
+    """Instant of a time without zone, read as UTC whatever zone the session has."""
+    epoch = "timestamp_ntz'1970-01-01 00:00:00'"
+    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, {epoch}, {column})"))
+
+
 def spread(key: Column, factor: int, modulus: int, start: float) -> Column:
     rest = F.pmod(key.cast("long") * F.lit(factor).cast("long"), F.lit(modulus).cast("long"))
     return F.lit(start) + F.lit(SIZE) * rest.cast("double") / F.lit(float(modulus))
@@ -101,7 +107,7 @@ def trip_vertices(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select(
         "user_id",
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc("ts").alias("ts"),
         lon_of(key).alias("lon"),
         lat_of(key).alias("lat"),
     )
@@ -141,7 +147,7 @@ def as_interactions(events: DataFrame) -> DataFrame:
     text = lambda n: (key % n).cast("string")
     return events.select(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc("ts").alias("ts"),
         F.col("user_id").alias("session"),
         F.when(key % 3 == 0, "clicked").when(key % 3 == 1, "hovered").otherwise("view_state").alias("kind"),
         F.concat(F.lit("layer-"), text(3), F.lit("-"), text(4)).alias("sub_layer_id"),

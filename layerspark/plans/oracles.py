@@ -352,6 +352,7 @@ def registry() -> dict[str, str]:
           SELECT feature_id FROM b, cut WHERE bucket < c""",
         "coarsen": f"WITH {PLACES} SELECT feature_id, round(lon, 3) AS geom_x, round(lat, 3) AS geom_y FROM places",
         "coarsen_paths": thin,
+        "float_geometry": f"WITH {PLACES} SELECT feature_id, CAST(CAST(lon AS FLOAT) AS DOUBLE) AS geom_x, CAST(CAST(lat AS FLOAT) AS DOUBLE) AS geom_y FROM places",
         "check_budget": f"WITH {PLACES} SELECT 'layer-0' AS layer_id, count(*) AS rows, count(*) * 28 AS bytes FROM places UNION ALL SELECT 'layer-1', count(*), count(*) * (8 + 8 + 15 + 4) FROM part",
         "attach_stats": f"""WITH {GRID}, s AS (SELECT l_partkey AS cell_id, count(*) AS count, min(l_quantity) AS min, max(l_quantity) AS max,
           round(avg(l_quantity), 6) AS mean, round(stddev_pop(l_quantity), 6) AS std FROM lineitem GROUP BY 1)

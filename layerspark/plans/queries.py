@@ -281,6 +281,13 @@ def q_coarsen_paths(spark, sf):
     return shape.vertex_rows(thin, "user_id").drop("part")
 
 
+def q_float_geometry(spark, sf):
+    """Coordinates as 32-bit floats, widened again to show what is left of them."""
+    df = select.to_float32(place_points(spark, sf).select("feature_id", "geometry"), "geometry")
+    flat = xy(df, "geometry")
+    return flat.select("feature_id", *[F.col(c).cast("double").alias(c) for c in ("geom_x", "geom_y")])
+
+
 def q_check_budget(spark, sf):
     """Sizes that the budget check compares: one row per layer."""
     sizes = [
@@ -709,11 +716,18 @@ def q_picks_to_rows(spark, sf):
 
 
 def q_picks_to_rows_stream(spark, sf):
-    stream = _event_stream(spark, sf).drop("view_state")
+    """Source rows of streamed picks, looked up per micro-batch."""
+    out = scratch_path(spark, "picked")
     offsets = materialize(fx.sub_layers(spark, sf), "sub_layers")
     layer = materialize(fx.indexed_layer(spark, sf), "layer")
-    rows = ev.picks_to_rows(stream, offsets, layer)
-    return _run_to_table(spark, rows.select("event_id", "layer_id", "row_index", "feature_id", "name"), "append")
+    columns = ["event_id", "layer_id", "row_index", "feature_id", "name"]
+
+    def write(rows, batch_id):
+        rows.select(*columns).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    run = _event_stream(spark, sf).writeStream.foreachBatch(ev.rows_writer(offsets, layer, write))
+    _finish(run.option("checkpointLocation", scratch_path(spark, "picked_cp")).trigger(availableNow=True).start())
+    return spark.read.parquet(out).select(*columns)
 
 
 def q_layer_change_feed(spark, sf):

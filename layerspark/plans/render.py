@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import warnings
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, NumericType
 
 from layerspark.functions.widths import row_width
-from layerspark.operators.contract import check_budget, row_rules
+from layerspark.operators.contract import check_budget, list_depth, row_rules
 from layerspark.operators.shape import layer_tooltip, select_layer
-from layerspark.operators.size import encoding_for, requested_encoding
+from layerspark.operators.size import MAX_ZOOM, encoding_for, requested_encoding
 from layerspark.operators.style import trip_times_to_float
 from layerspark.operators.version import (
     diff_layers,
@@ -25,9 +27,16 @@ from layerspark.operators.version import (
 )
 from layerspark.sinks.encode import ROWS_PER_BATCH, encode_layer
 from layerspark.sinks.manifest import manifest_frame, manifest_row, write_manifest
-from layerspark.spec import LayerSpec, MapSpec, geometry_columns
+from layerspark.spec import (
+    GEOMETRY_ACCESSORS,
+    GEOMETRY_KEY,
+    LayerSpec,
+    MapSpec,
+    geometry_columns,
+)
 
 LAYERS_AT_ONCE = 8
+EDGES = ("west", "south", "east", "north")
 KEEP_DATA = ("unchanged", "tooltip_only", "props_only")
 
 
@@ -46,13 +55,15 @@ def profile_layer(layer: DataFrame, spec: LayerSpec, algo: str = "xxhash64") ->
     geometry = geometry_columns(layer.schema, spec.layer_type)
     rules = row_rules(layer.schema, spec)
     tests = [broken.alias(f"_r{i}") for i, broken in enumerate(rules.values())]
-    rows = hashed_rows(layer, spec.id_col, algo, [row_width(layer.schema).alias("_w"), *tests])
+    edges = [e.alias(n) for n, e in zip(EDGES, row_edges(layer, spec), strict=True)]
+    rows = hashed_rows(layer, spec.id_col, algo, [row_width(layer.schema).alias("_w"), *edges, *tests])
     counts = [x for i, name in enumerate(rules) for x in (F.lit(name), F.count(F.when(F.col(f"_r{i}"), 1)))]
     facts = rows.agg(
         F.count(F.lit(1)).alias("num_rows"),
         F.coalesce(F.ceil(F.sum("_w")), F.lit(0)).cast("long").alias("bytes"),
         fingerprint_map(layer.columns).alias("column_fps"),
         F.create_map(*counts).alias("broken"),
+        *[(F.min if n in ("west", "south") else F.max)(n).alias(n) for n in EDGES],
     )
     return facts.select(
         F.lit(spec.layer_id).alias("layer_id"),
@@ -63,9 +74,46 @@ def profile_layer(layer: DataFrame, spec: LayerSpec, algo: str = "xxhash64") ->
         F.lit(props_fingerprint(spec)).alias("props_fp"),
         "column_fps",
         "broken",
+        *EDGES,
     )
 
 
+def row_edges(layer: DataFrame, spec: LayerSpec) -> list[Column]:
+    """West, south, east, north of each row's shape; null for cells and arcs, as for no shape."""
+    names = [
+        f.name for f in layer.schema.fields if (f.metadata or {}).get(GEOMETRY_KEY) and f.name not in spec.accessors
+    ]
+    if not names or spec.layer_type in GEOMETRY_ACCESSORS:
+        return [F.lit(None).cast("double")] * 4
+    vertices, depth = F.col(names[0]), list_depth(layer.schema[names[0]].dataType)
+    for _ in range(depth - 2):
+        vertices = F.flatten(vertices)
+    if depth == 1:
+        lon, lat = F.get(vertices, F.lit(0)), F.get(vertices, F.lit(1))
+        known = ~(F.isnan(lon) | F.isnan(lat))
+        lon, lat = F.when(known, lon), F.when(known, lat)
+        return [lon, lat, lon, lat]
+    lon, lat = F.transform(vertices, lambda v: v[0]), F.transform(vertices, lambda v: v[1])
+    return [F.array_min(lon), F.array_min(lat), F.array_max(lon), F.array_max(lat)]
+
+
+def auto_view(profiles: Sequence[dict[str, Any]]) -> dict[str, float]:
+    """View that shows every layer with shapes of its own; 0, 0, 0 with a warning without any."""
+    known = [p for p in profiles if p["west"] is not None]
+    view = {"longitude": 0.0, "latitude": 0.0, "zoom": 0.0, "pitch": 0.0, "bearing": 0.0}
+    if not known:
+        warnings.warn(
+            "no view state can be derived: cell and arc layers have no bounds; pass a view state",
+            stacklevel=3,
+        )
+        return view
+    west, south = min(p["west"] for p in known), min(p["south"] for p in known)
+    east, north = max(p["east"] for p in known), max(p["north"] for p in known)
+    span = max(east - west, north - south)
+    zoom = MAX_ZOOM if span <= 0 else min(max(math.log2(360.0 / span), 0.0), MAX_ZOOM)
+    return {**view, "longitude": (west + east) / 2, "latitude": (south + north) / 2, "zoom": zoom}
+
+
 def manifest_of(
     df: DataFrame, spec: LayerSpec, position: int = 0, algo: str = "xxhash64"
 ) -> DataFrame:
@@ -110,6 +158,8 @@ def write_map(
         raise ValueError("layer ids of a map must differ")
     tables = [prepare_layer(df, spec, time_unit) for df, spec in layers]
     profiles = _together(lambda i: profile_layer(tables[i], layers[i][1]).first().asDict(), len(layers))
+    if map_spec is None or map_spec.view_state is None:
+        map_spec = MapSpec(auto_view(profiles), map_spec.options if map_spec else {})
     prepared, rows = [], []
     for position, ((df, spec), layer, facts) in enumerate(zip(layers, tables, profiles, strict=True)):
         if strict:

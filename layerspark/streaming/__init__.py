@@ -6,6 +6,7 @@ from layerspark.streaming.events import (
     latest_view,
     picks_to_rows,
     read_events,
+    rows_writer,
 )
 from layerspark.streaming.feed import layer_change_feed
 from layerspark.streaming.throttling import throttle, throttle_interactions, throttle_stream
@@ -17,6 +18,7 @@ __all__ = [
     "layer_change_feed",
     "picks_to_rows",
     "read_events",
+    "rows_writer",
     "throttle",
     "throttle_interactions",
     "throttle_stream",

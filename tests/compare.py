@@ -71,7 +71,8 @@ def main() -> None:
     sf = sys.argv[1]
     known, sqls = queries(), oracle_sql()
     names = sys.argv[2:] or list(known)
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    zone = os.environ.get("COMPARE_ZONE", "UTC")
+    spark = build_session("compare", "local[8]", **{"spark.sql.session.timeZone": zone, "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
     for name in names:

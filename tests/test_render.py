@@ -7,7 +7,7 @@ from layerspark.operators import shape, style
 from layerspark.plans.render import manifest_of, prepare_layer, write_map
 from layerspark.operators.version import column_fingerprints, diff_layers, geometry_fingerprint
 from layerspark.sinks import decode_payload
-from layerspark.sources import gen_points
+from layerspark.sources import gen_points, gen_square_grid
 from layerspark.spec import Extension, LayerSpec, MapSpec
 from pyspark.sql import functions as F
 
@@ -143,3 +143,20 @@ def test_trip_times_are_prepared(spark):
     df = df.withColumn("geometry", F.col("g").alias("geometry", metadata={"ARROW:extension:name": "geoarrow.linestring"}))
     layer = prepare_layer(df, LayerSpec("t", "trip", accessors={"get_timestamps": F.col("ts")}))
     assert layer.first()["get_timestamps"] == [-16777216.0, -6777216.0]
+
+
+def test_view_is_derived_from_the_shapes(spark, points, tmp_path):
+    row = write_map(spark, [(points, spec())], str(tmp_path / "m")).first()
+    view = json.loads(row["view_state"])
+    assert view["longitude"] == pytest.approx(-122.45, abs=0.01)
+    assert view["zoom"] == pytest.approx(10.23, abs=0.02)
+    grid = gen_square_grid(spark, 50)
+    row = write_map(spark, [(grid, LayerSpec("g", "polygon"))], str(tmp_path / "g")).first()
+    assert json.loads(row["view_state"])["latitude"] == pytest.approx(37.8, abs=0.05)
+
+
+def test_cell_layers_have_no_view_of_their_own(spark, points, tmp_path):
+    cells = LayerSpec("c", "geohash", accessors={"get_geohash": F.lit("u4pruy")})
+    with pytest.warns(UserWarning, match="pass a view state"):
+        row = write_map(spark, [(points, cells)], str(tmp_path / "m")).first()
+    assert json.loads(row["view_state"])["zoom"] == 0.0

@@ -2,7 +2,16 @@
 
 import pytest
 from layerspark.plans import fixtures as fx
-from layerspark.streaming import gate, gated_writer, latest_view, throttle, throttle_stream
+from conftest import plan_of
+from layerspark.streaming import (
+    gate,
+    gated_writer,
+    latest_view,
+    picks_to_rows,
+    rows_writer,
+    throttle,
+    throttle_stream,
+)
 from pyspark.sql import functions as F
 
 
@@ -96,3 +105,27 @@ def test_latest_view_in_update_mode(spark, sf, sliced, tmp_path):
     got = {r["session"]: r["event_id"] for r in latest_view(spark.read.parquet(out)).collect()}
     want = {r["session"]: r["event_id"] for r in latest_view(fx.interactions(spark, sf)).collect()}
     assert got == want and len(got) > 10
+
+
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_streamed_picks_equal_the_batch_join(spark, sf, sliced, tmp_path, few):
+    offsets, layer = fx.sub_layers(spark, sf), tmp_path / "layer"
+    fx.indexed_layer(spark, sf).write.parquet(str(layer))
+    layer = spark.read.parquet(str(layer))
+    out, plans = str(tmp_path / "rows"), []
+
+    def write(rows, batch_id):
+        plans.append(plan_of(rows))
+        rows.select("event_id", "feature_id").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    query = (
+        sliced.writeStream.foreachBatch(rows_writer(offsets, layer, write, few=few))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    got = sorted(tuple(r) for r in spark.read.parquet(out).select("event_id", "feature_id").collect())
+    want = picks_to_rows(fx.interactions(spark, sf), offsets, layer).select("event_id", "feature_id")
+    assert got == sorted(tuple(r) for r in want.collect()) and got
+    assert all(("GreaterThanOrEqual(row_index" in p) == (few > 0) for p in plans)
