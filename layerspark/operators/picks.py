@@ -97,8 +97,11 @@ def nearest_feature(
     places = materialize(places.withColumns(dict(zip(("_x", "_y"), cells, strict=True))), "places")
     levels = _levels_needed(places, max_levels, cell_rows)
 
+    # Each point meets several places, so the work is spread by cell even where one side
+    # would be small enough to broadcast next to few input splits.
     seen = grid.around(asked, levels, point_id)
-    close = _closest(seen.join(grid.at(places, levels, id_col), ["_cx", "_cy"]), point_id, id_col)
+    near = grid.at(places, levels, id_col).hint("merge")
+    close = _closest(seen.join(near, ["_cx", "_cy"]), point_id, id_col)
     within = close.where(F.col("distance_m") <= F.lit(radius_m / 4.0**levels))
     if levels == 0:
         return within
@@ -107,7 +110,7 @@ def nearest_feature(
     found = grid.around(rest, 0, point_id)
     for level in range(1, levels + 1):
         found = grid.descend(found, places, level, point_id, radius_m)
-    far = _closest(found.join(grid.at(places, levels, id_col), ["_cx", "_cy"]), point_id, id_col)
+    far = _closest(found.join(near, ["_cx", "_cy"]), point_id, id_col)
     return within.unionByName(far.where(F.col("distance_m") <= F.lit(float(radius_m))))
 
 
@@ -168,7 +171,7 @@ class _Grid:
             F.shiftright("_x", down).alias("_kx"), F.shiftright("_y", down).alias("_ky")
         ).distinct()
         inner = inner.withColumns({"_cx": F.shiftright("_kx", 2), "_cy": F.shiftright("_ky", 2)})
-        children = found.join(inner, ["_cx", "_cy"]).drop("_cx", "_cy")
+        children = found.join(inner.hint("merge"), ["_cx", "_cy"]).drop("_cx", "_cy")
         width = 360.0 / (self.columns << (2 * level))
         height = 180.0 / (self.rows << (2 * level))
         mid_lon = (F.col("_kx") + F.lit(0.5)) * F.lit(width) - F.lit(180.0)
