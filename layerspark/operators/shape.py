@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from layerspark.functions import color, geo
 from layerspark.operators.order import row_index
 from layerspark.operators.skew import hot_keys, split_hot
+from layerspark.session import broadcast_if_small
 from layerspark.spec import LayerSpec, check_layer, geometry_columns
 
 # Vertices of a path kept in one row; longer paths are cut into joined parts.
@@ -121,19 +122,18 @@ def path_from_vertices(
 def _cut(df: DataFrame, path_id: str, order: Sequence[str], max_vertices: int) -> DataFrame:
     """Part number of each vertex; a vertex where two parts meet appears in both."""
     indexed = row_index(df, [path_id, *order], name="path")
-    starts = indexed.groupBy(path_id).agg(F.min("row_index").alias("_start"))
-    # One row per long path: at most (rows / max_vertices).
-    placed = indexed.join(F.broadcast(starts), path_id)
+    ends = indexed.groupBy(path_id).agg(F.min("row_index").alias("_start"), F.max("row_index").alias("_last"))
+    # One row per long path: at most (rows / max_vertices), and counted.
+    placed = indexed.join(broadcast_if_small(ends), path_id)
     place, step = F.col("row_index") - F.col("_start"), max_vertices - 1
     part = F.floor(place / F.lit(step)).cast("long")
     meets = (place % step == 0) & (place > 0)
-    parts = F.when(meets, F.array(part - 1, part)).otherwise(F.array(part))
-    placed = placed.withColumn("part", F.explode(parts))
-    # The last vertex may fall on a meeting point: then it only closes the part before.
-    last = indexed.groupBy(path_id).agg(F.max("row_index").alias("_last"))
-    placed = placed.join(F.broadcast(last), path_id)
-    lonely = (F.col("row_index") == F.col("_last")) & meets & (F.col("part") == part)
-    return placed.where(~lonely).drop("row_index", "_start", "_last")
+    # A last vertex on a meeting point only closes the part before it.
+    closes = meets & (F.col("row_index") == F.col("_last"))
+    parts = (
+        F.when(closes, F.array(part - 1)).when(meets, F.array(part - 1, part)).otherwise(F.array(part))
+    )
+    return placed.withColumn("part", F.explode(parts)).drop("row_index", "_start", "_last")
 
 
 def stack_layers(layers: Sequence[tuple[str, DataFrame]]) -> DataFrame:

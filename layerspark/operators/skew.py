@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerspark.session import BROADCAST_ROWS, materialize
+
 # Largest group handed to one task as a whole.
 GROUP_ROWS = 1_000_000
 # percentile_approx is off by at most 1 / accuracy of all ranks.
@@ -17,12 +19,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None
     """Keys with more than ``limit`` rows and their row counts, or None if there are none.
 
     The counts are combined before the shuffle, and at most (rows / limit) keys can
-    be hot, which bounds what callers broadcast.
+    be hot. They are written once, as callers use them several times.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-    if counts.isEmpty():
-        return None
-    return counts
+    return None if counts.isEmpty() else materialize(counts, "hot_keys")
 
 
 def join_keys(
@@ -43,10 +43,12 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys, and rows of hot keys with the key's row count ``_n``.
 
-    The hot keys are few (see ``hot_keys``), so both joins broadcast them.
+    The hot keys are few (see ``hot_keys``) and broadcast once counted; were they
+    many, AQE would split the overfull partitions of the joins.
     """
-    cold = join_keys(df, hot.select(*keys), keys, "left_anti", broadcast=True)
-    return cold, join_keys(df, hot, keys, broadcast=True)
+    few = hot.count() <= BROADCAST_ROWS
+    cold = join_keys(df, hot.select(*keys), keys, "left_anti", broadcast=few)
+    return cold, join_keys(df, hot, keys, broadcast=few)
 
 
 def exact_percentiles(
@@ -80,11 +82,12 @@ def exact_percentiles(
         return ranked.select(*names) if not also else _beside(valued.agg(*also), ranked, names)
     cold, _ = split_hot(valued, keys, hot)
     _, warm = split_hot(known.select(*keys, "_v"), keys, hot)
-    ranked = _bracketed(warm, keys, probs, names, accuracy)
+    few = hot.count() <= BROADCAST_ROWS
+    ranked = _bracketed(warm, keys, probs, names, accuracy, few)
     if also:
         # A row per hot group on either side.
-        extra = join_keys(valued, hot.select(*keys), keys, "left_semi", broadcast=True)
-        ranked = join_keys(extra.groupBy(*keys).agg(*also), ranked, keys, broadcast=True)
+        extra = join_keys(valued, hot.select(*keys), keys, "left_semi", broadcast=few)
+        ranked = join_keys(extra.groupBy(*keys).agg(*also), ranked, keys, broadcast=few)
     return _built_in(cold, keys, probs, names, also).unionByName(ranked)
 
 
@@ -114,6 +117,7 @@ def _bracketed(
     probs: Sequence[float],
     names: Sequence[str],
     accuracy: int,
+    few: bool = True,
 ) -> DataFrame:
     """Percentiles of hot groups without bringing a whole group together.
 
@@ -141,8 +145,8 @@ def _bracketed(
         edges.append(F.col("_min") if p <= 0 else F.col("_max") if p >= 1 else edge)
     packed = F.struct(*[e.alias(f"_e{j}") for j, e in enumerate(edges)]).alias("_e")
     if keys:
-        # A row per hot group: as few as the hot keys.
-        tagged = join_keys(df, bounds.select(*keys, packed), keys, broadcast=True)
+        # A row per hot group.
+        tagged = join_keys(df, bounds.select(*keys, packed), keys, broadcast=few)
     else:
         tagged = df.withColumn("_e", bounds.select(packed).scalar())
 
