@@ -1,17 +1,20 @@
 """Every registered query against its SQL twin."""
 
 import pytest
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import difference
 
+from layerspark.plans import oracles
+from layerspark.plans import queries as registered
 
-@pytest.mark.parametrize("name", sorted(queries()))
+
+@pytest.mark.parametrize("name", sorted(registered.registry()))
 def test_query_matches_sql(spark, sf, name):
-    assert difference(spark, sf, queries()[name], oracle_sql()[name]) is None
+    assert difference(spark, sf, registered.registry()[name], oracles.registry()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registered.registry()) == set(oracles.registry())
 
 
 def test_entry_runs(spark):
