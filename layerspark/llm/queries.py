@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerspark.llm import quality, simhash
+from layerspark.llm import mixing, pii, quality, simhash
 from layerspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.draw(table(spark, sf_dir, "documents"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -22,6 +30,8 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op2_mix_sources": op2_mix_sources,
+        "op3_personal_data": op3_personal_data,
         "op5_quality_rules": op5_quality_rules,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
