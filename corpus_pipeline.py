@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerspark.llm import quality, simhash
+from layerspark.llm import mixing, packing, pii, quality, simhash
 from layerspark.session import scratch_path
 
 
@@ -18,9 +18,27 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.keep_one(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked in their texts."""
+    return pii.redact(docs, length="n_chars")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn to the target weights, some in two epochs; those at a cut shortened."""
+    return mixing.mixed(docs, length="n_chars")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences with their places."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("SimHash near-dedup", simhash_near_dedup),
+    ("PII", personal_data),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 # Fingerprints need XXH64 and packing needs a tokenizer, which SQL does not have.

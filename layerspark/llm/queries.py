@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerspark.llm import mixing, pii, quality, simhash
+from layerspark.llm import mixing, packing, pii, quality, sharding, simhash
 from layerspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,14 +24,24 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op2_mix_sources": op2_mix_sources,
         "op3_personal_data": op3_personal_data,
         "op5_quality_rules": op5_quality_rules,
+        "op8_packing": op8_packing,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
+        "op10_sharding": op10_sharding,
     }
