@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerspark.llm import mixing, packing, pii, quality, sharding, simhash
+from layerspark.llm import mixing, nearest, packing, pii, quality, sharding, simhash, urlfilter
 from layerspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,8 @@ def registry() -> dict[str, Query]:
         "op2_mix_sources": op2_mix_sources,
         "op3_personal_data": op3_personal_data,
         "op5_quality_rules": op5_quality_rules,
+        "op6_url_filters": op6_url_filters,
+        "op7_nearest_neighbours": op7_nearest_neighbours,
         "op8_packing": op8_packing,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_sharding": op10_sharding,
