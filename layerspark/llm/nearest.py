@@ -7,7 +7,8 @@ are kept in lists around centroids that k-means finds on a bounded sample
 bounded size, each as column blocks of the rotated vectors, so the vectors of a hot
 list spread over many tasks.
 
-A query probes its nearest lists. Within a block its distances grow one column
+A query probes its nearest lists. Their number is set on the sample: the smallest that
+holds ``TARGET_RECALL`` of the neighbours that brute force finds there. Within a block its distances grow one column
 block at a time. After the first d of D components, a random rotation makes the
 partial distance times D / d an estimate of the whole one, and a candidate is given
 up once the estimate exceeds the best known k-th distance by more than chance allows:
@@ -42,7 +43,8 @@ COLUMNS = 16
 EPSILON = 2.1
 SEED = 5
 MAX_LISTS = 4096
-PROBE_SHARE = 0.25
+TARGET_RECALL = 0.95
+CHECK_QUERIES = 400
 
 
 def valid_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
@@ -90,12 +92,28 @@ def nearest_centers(x: np.ndarray, centers: np.ndarray, n: int) -> np.ndarray:
 class Frame:
     """The rotation, the common length and the centroids; small and sent to every task."""
 
-    def __init__(self, sample: np.ndarray, rows: int, square: float, seed: int):
+    def __init__(self, sample: np.ndarray, rows: int, square: float, k: int, target: float, seed: int):
         self.square, self.dim = square, sample.shape[1] + 1
         rng = np.random.default_rng(seed)
         self.rotation = np.linalg.qr(rng.normal(size=(self.dim, self.dim)))[0]
         lists = int(min(MAX_LISTS, max(1, round(rows**0.5)), len(sample)))
         self.centers = kmeans(self.turned(sample), lists, seed)
+        self.probes = self.calibrate(sample, k, target)
+
+    def calibrate(self, sample: np.ndarray, k: int, target: float) -> int:
+        """Lists to probe so that the sample's own nearest rows lie in them often enough."""
+        queries, home = sample[:CHECK_QUERIES], nearest_centers(self.turned(sample), self.centers, 1)[:, 0]
+        score = queries @ sample.T
+        score[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
+        k = min(k, len(sample) - 1)
+        if k < 1:
+            return len(self.centers)
+        near = np.argpartition(-score, k - 1, axis=1)[:, :k]
+        order = nearest_centers(self.turned_queries(queries), self.centers, len(self.centers))
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(order.shape[1])[None, :], axis=1)
+        needed = np.take_along_axis(rank, home[near], axis=1)
+        return int(np.quantile(needed, target, method="higher")) + 1
 
     def turned(self, x: np.ndarray) -> np.ndarray:
         """Rotated vectors of equal length; queries have no extra component."""
@@ -106,13 +124,13 @@ class Frame:
         return np.hstack([q, np.zeros((len(q), 1))]) @ self.rotation
 
 
-def fit(vectors: DataFrame, seed: int = SEED) -> Frame | None:
+def fit(vectors: DataFrame, k: int = K, target: float = TARGET_RECALL, seed: int = SEED) -> Frame | None:
     """Centroids from at most ``SAMPLE_ROWS`` rows, the first in a seeded random order."""
     rows, square = vectors.agg(F.count("*"), F.max("square")).first()
     if not rows:
         return None
     sample = vectors.orderBy(F.xxhash64(F.lit(seed), "row"), "row").select("vec").limit(SAMPLE_ROWS).collect()
-    return Frame(np.array([r["vec"] for r in sample], dtype=np.float64), rows, square, seed)
+    return Frame(np.array([r["vec"] for r in sample], dtype=np.float64), rows, square, k, target, seed)
 
 
 def _blocks(vectors: DataFrame, shared, columns: int, block_rows: int) -> DataFrame:
@@ -152,12 +170,12 @@ def _blocks(vectors: DataFrame, shared, columns: int, block_rows: int) -> DataFr
     return materialize(placed.groupBy("list", "block").applyInArrow(pack, schema), "ann-blocks")
 
 
-def _probes(queries: DataFrame, shared, share: float) -> DataFrame:
+def _probes(queries: DataFrame, shared) -> DataFrame:
     """``row, vec_id, vec, list, rank`` for the lists that each query probes."""
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frame = shared.value
-        n = max(1, min(len(frame.centers), round(share * len(frame.centers)) + 1))
+        n = frame.probes
         for batch in batches:
             if batch.num_rows:
                 near = nearest_centers(frame.turned_queries(_matrix(batch.column(2))), frame.centers, n)
@@ -238,7 +256,7 @@ def search(
     vector: str = "embedding",
     k: int = K,
     query_step: int = QUERY_STEP,
-    probe_share: float = PROBE_SHARE,
+    target_recall: float = TARGET_RECALL,
     columns: int = COLUMNS,
     block_rows: int = BLOCK_ROWS,
     seed: int = SEED,
@@ -246,12 +264,12 @@ def search(
     """The ``k`` nearest rows of every row whose id is divisible by ``query_step``."""
     spark = rows.sparkSession
     vectors = valid_vectors(rows, key, vector)
-    frame = fit(vectors, seed)
+    frame = fit(vectors, k, target_recall, seed)
     if frame is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = spark.sparkContext.broadcast(frame)
     blocks = _blocks(vectors, shared, columns, block_rows)
-    probes = materialize(_probes(vectors.filter(F.col("vec_id") % query_step == 0), shared, probe_share), "ann-probes")
+    probes = materialize(_probes(vectors.filter(F.col("vec_id") % query_step == 0), shared), "ann-probes")
     first = probes.filter("rank = 0").withColumn("limit", F.lit(float("inf")))
     # One more than k, as the query's own row is left out.
     near = materialize(_search(blocks, first, shared, k, columns), "ann-first")

@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from layerspark.llm import mixing, nearest, packing, pii, quality, sharding, simhash, urlfilter
+from layerspark.llm import (
+    htmltext,
+    licenses,
+    mixing,
+    nearest,
+    packing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    urlfilter,
+)
 from layerspark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.draw(table(spark, sf_dir, "documents"))
 
@@ -20,6 +35,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -46,8 +65,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_mix_sources": op2_mix_sources,
         "op3_personal_data": op3_personal_data,
+        "op4_html_extraction": op4_html_extraction,
         "op5_quality_rules": op5_quality_rules,
         "op6_url_filters": op6_url_filters,
         "op7_nearest_neighbours": op7_nearest_neighbours,
