@@ -5,7 +5,8 @@ a unigram model: of all ways to cut the label, the most probable. Words are coun
 over the texts of all pages and joined by a built-in lexicon; an unknown piece
 costs more with every letter. The words of host and path then go to a multinomial
 naive Bayes model. It is trained on all urls: those with a word of the lexicon of
-unwanted sites count as unwanted, which lets it learn the other words of their hosts.
+unwanted sites count as unwanted, which lets it learn the other words of their hosts. In a host, a word of that
+lexicon weighs ``LEXICON_ODDS`` at least.
 
 Both models have a bounded vocabulary (the most frequent words, ``VOCABULARY``);
 every url is counted and judged.
@@ -71,6 +72,7 @@ ORDINARY = (
     "help support cloud app apps dev test example com net org edu gov co uk de fr es en it"
 ).split()
 LEXICON_COUNT = 1000
+LEXICON_ODDS = 8.0
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -179,6 +181,9 @@ def bayes(tokens: DataFrame, smoothing: float = 1.0) -> tuple[dict[str, float],
         bad = (r["bad"] + smoothing) / (bad_all + smoothing * size)
         good = (r["n"] - r["bad"] + smoothing) / (all_ - bad_all + smoothing * size)
         odds[r["w"]] = math.log(bad / good)
+    # What the lexicon says must not depend on how often a table shows a word.
+    for w in UNWANTED:
+        odds[w] = max(odds.get(w, 0.0), LEXICON_ODDS)
     prior = math.log((classes.get(True, 0) + smoothing) / (classes.get(False, 0) + smoothing))
     return odds, prior
 
