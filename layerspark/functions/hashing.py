@@ -11,6 +11,7 @@ from pyspark.sql.types import (
     DecimalType,
     DoubleType,
     FloatType,
+    MapType,
     StringType,
     StructType,
     TimestampNTZType,
@@ -55,21 +56,27 @@ def hash_total(name: str) -> Column:
 
 
 def _hashable(column: Column, dtype: DataType) -> Column:
-    """xxhash64 skips nulls, so say where they are; -0.0 and 0.0 already hash alike."""
+    """xxhash64 skips nulls, so say where they are; -0.0 and 0.0 already hash alike.
+
+    A struct is taken field by field, a map as its entries by key, and a nested list
+    as the hashes of its elements: a hash of all numbers alone hides their grouping.
+    """
+    if isinstance(dtype, StructType):
+        parts = [_hashable(column[f.name], f.dataType) for f in dtype.fields]
+        return F.struct(column.isNull(), *parts)
+    if isinstance(dtype, MapType):
+        entry = StructType().add("key", dtype.keyType).add("value", dtype.valueType)
+        hashes = F.transform(F.map_entries(column), lambda e: F.xxhash64(_hashable(e, entry)))
+        return F.struct(F.size(column), F.array_sort(hashes))
     if isinstance(dtype, ArrayType):
-        if _deep(dtype):
-            return F.struct(F.size(column), F.to_json(column))
-        # Where a null stands in a list is told apart by its text.
-        gaps = F.when(F.exists(column, lambda x: x.isNull()), F.to_json(column))
+        inner = dtype.elementType
+        if isinstance(inner, (ArrayType, StructType, MapType)):
+            return F.struct(F.size(column), F.transform(column, lambda x: F.xxhash64(_hashable(x, inner))))
+        gaps = F.when(F.exists(column, lambda x: x.isNull()), F.transform(column, lambda x: x.isNull()))
         return F.struct(F.size(column), column, gaps)
     return F.struct(column.isNull(), column)
 
 
-def _deep(dtype: ArrayType) -> bool:
-    """Nested lists are hashed as text, because a hash of elements alone hides their grouping."""
-    return isinstance(dtype.elementType, (ArrayType, StructType))
-
-
 def portable_text(column: Column, dtype: DataType) -> Column:
     """Text that two engines agree on: floats as scaled whole numbers, lists with brackets."""
     if isinstance(dtype, (FloatType, DoubleType)):

@@ -65,17 +65,23 @@ def row_rules(schema: StructType, spec: LayerSpec) -> dict[str, Column]:
             rules[f"{name}_length"] = ~F.size(column).isin(2, 3)
             rules[f"{name}_range"] = ~_on_earth(column)
             rules[f"{name}_finite"] = F.exists(column, lambda x: ~finite(x))
-        elif depth == 2:
-            least = 2 if kind.endswith("linestring") else 1
-            rules[f"{name}_length"] = (F.size(column) < least) | F.exists(
-                column, lambda v: ~F.size(v).isin(2, 3)
-            )
-            rules[f"{name}_range"] = F.exists(column, lambda v: ~_on_earth(v))
-            rules[f"{name}_finite"] = F.exists(column, lambda v: F.exists(v, lambda x: ~finite(x)))
-        elif depth == 3:
-            rules[f"{name}_ring"] = F.exists(
-                column, lambda r: (F.size(r) < 4) | (r[0] != F.element_at(r, -1))
-            )
+        elif depth >= 2:
+            vertices = column
+            for _ in range(depth - 2):
+                vertices = F.flatten(vertices)
+            # Lists of vertices: the column itself, a polygon's rings, or those of many polygons.
+            lines = F.array(column) if depth == 2 else column if depth == 3 else F.flatten(column)
+            rules[f"{name}_length"] = F.exists(vertices, lambda v: ~F.size(v).isin(2, 3))
+            if "polygon" in kind or (depth > 2 and not kind.endswith("linestring")):
+                rules[f"{name}_ring"] = F.exists(
+                    lines, lambda r: (F.size(r) < 4) | ~r[0].eqNullSafe(F.element_at(r, -1))
+                )
+            else:
+                least = 2 if kind.endswith("linestring") else 1
+                short = F.exists(lines, lambda r: F.size(r) < least)
+                rules[f"{name}_length"] = rules[f"{name}_length"] | (column.isNotNull() & short)
+            rules[f"{name}_range"] = F.exists(vertices, lambda v: ~_on_earth(v))
+            rules[f"{name}_finite"] = F.exists(vertices, lambda v: F.exists(v, lambda x: ~finite(x)))
     for field in schema.fields:
         if isinstance(field.dataType, ArrayType) and isinstance(
             field.dataType.elementType, (ByteType, ShortType)
@@ -83,7 +89,8 @@ def row_rules(schema: StructType, spec: LayerSpec) -> dict[str, Column]:
             column = F.col(field.name)
             rules[f"{field.name}_length"] = ~F.size(column).isin(3, 4)
             rules[f"{field.name}_range"] = F.exists(column, lambda x: (x < 0) | (x > 255))
-        elif isinstance(field.dataType, (FloatType, DoubleType)):
+        elif (field.name in spec.accessors or field.name.startswith("get_")) and isinstance(field.dataType, (FloatType, DoubleType)):
+            # Hover values may be NaN; only what is drawn must be a number.
             rules[f"{field.name}_finite"] = ~finite(F.col(field.name))
     if spec.layer_type == "trip" and "get_timestamps" in schema.names and "geometry" in schema.names:
         rules["times_length"] = F.size("geometry") != F.size("get_timestamps")
@@ -108,17 +115,25 @@ def assert_rows(df: DataFrame, spec: LayerSpec, allow: Sequence[str] = ("geometr
         raise ValueError(f"layer {spec.layer_id!r} breaks its contract ({text})")
 
 
-def check_budget(sizes: DataFrame, max_mb: float) -> None:
-    """Raise when the layers' bytes exceed the limit; ``sizes`` has one row per layer."""
+def budget_verdict(sizes: DataFrame, max_mb: float, named: int = 3) -> DataFrame:
+    """The largest layers with the total of all and whether it is over the limit.
+
+    ``sizes`` has one row per layer with its encoded ``bytes``.
+    """
     limit = int(max_mb * 1_000_000)
-    total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("b")).first()["b"]
-    if total > limit:
-        top = sizes.orderBy(F.desc("bytes"), "layer_id").limit(3).collect()
-        names = ", ".join(f"{r['layer_id']} ({r['bytes'] / 1e6:.1f}MB)" for r in top)
+    total = sizes.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("total")).select("total").scalar()
+    largest = sizes.select("layer_id", "bytes").orderBy(F.desc("bytes"), "layer_id").limit(named)
+    return largest.select("layer_id", "bytes", total.alias("total"), (total > limit).alias("over_limit"))
+
+
+def check_budget(sizes: DataFrame, max_mb: float) -> None:
+    """Raise when the layers' bytes exceed the limit, naming the largest."""
+    top = budget_verdict(sizes, max_mb).collect()
+    if top and top[0]["over_limit"]:
+        names = ", ".join(f"{r['layer_id']} with {r['bytes'] / 1e6:.1f} MB" for r in top)
         raise ValueError(
-            f"the layers take {total / 1e6:.1f}MB, which exceeds the limit of {max_mb}MB; largest: "
-            f"{names}. Downsample (fewer rows, coarser geometry), use compression='zstd' or "
-            "'parquet', or raise the limit"
+            f"over budget: {top[0]['total'] / 1e6:.1f} MB encoded where {max_mb} MB are allowed. Largest "
+            f"layers: {names}. Fewer rows, coarser shapes, another encoding or a higher limit would help"
         )
 
 

@@ -21,17 +21,17 @@ def resolve_picks(
     A sub-layer that is not listed stands for a layer of its own id. A pick
     without an index counts as -1 from its offset, as a pointer just off a
     feature does, and is flagged. Rows where nothing was picked (no sub-layer)
-    are left out. The list of sub-layers has a row per batch, so it is broadcast
+    stay, with neither layer nor index. The list of sub-layers has a row per batch, so it is broadcast
     only when it is small.
     """
     offsets = sub_layers.select("sub_layer_id", F.col("layer_id").alias("_layer"), "row_offset")
-    picked = picks.where(F.col("sub_layer_id").isNotNull())
-    joined = picked.join(broadcast_if_small(offsets, broadcast_rows), "sub_layer_id", "left")
-    index = F.coalesce("row_offset", F.lit(0)) + F.coalesce("batch_index", F.lit(-1))
+    joined = picks.join(broadcast_if_small(offsets, broadcast_rows), "sub_layer_id", "left")
+    picked = F.col("sub_layer_id").isNotNull()
+    index = F.when(picked, F.coalesce("row_offset", F.lit(0)) + F.coalesce("batch_index", F.lit(-1)))
     return (
         joined.withColumn("layer_id", F.coalesce("_layer", "sub_layer_id"))
         .withColumn("row_index", index.cast("long"))
-        .withColumn("no_index", F.col("batch_index").isNull())
+        .withColumn("no_index", picked & F.col("batch_index").isNull())
         .withColumn("known_layer", F.col("_layer").isNotNull())
         .drop("_layer", "row_offset")
     )

@@ -45,10 +45,15 @@ def tooltip_columns(
     repeats and without names this layer lacks. Names taken by the id, geometry
     or accessors are not free.
     """
-    free = [c for c in available if c not in set(used)]
-    if isinstance(request, bool):
-        return sorted(free) if request else []
-    return [c for c in dict.fromkeys(request) if c in free]
+    free = dict.fromkeys(sorted(available))
+    for taken in used:
+        free.pop(taken, None)
+    asked = {True: free, False: ()}[request] if isinstance(request, bool) else request
+    out: dict[str, None] = {}
+    for name in asked:
+        if name in free:
+            out.setdefault(name)
+    return list(out)
 
 
 def select_layer(df: DataFrame, spec: LayerSpec) -> DataFrame:
@@ -73,11 +78,6 @@ def layer_tooltip(df: DataFrame, spec: LayerSpec) -> list[str]:
     return tooltip_columns(df.columns, spec.tooltip, [spec.id_col, *geometry, *per_row])
 
 
-def bind_accessors(df: DataFrame, spec: LayerSpec) -> DataFrame:
-    """Per-row accessors as columns; constants stay in the spec's props."""
-    return df.withColumns(spec.row_accessors())
-
-
 def path_from_vertices(
     df: DataFrame,
     path_id: str,

@@ -27,7 +27,7 @@ def layer_bytes(df: DataFrame, layer_id: str | None = None) -> DataFrame:
 def requested_encoding(compression: str | None) -> str:
     if compression not in COMPRESSION_ENCODING:
         raise ValueError(
-            f"compression={compression!r} is not supported; use 'auto', 'zstd', 'parquet' or None"
+            f"no encoding is known for compression {compression!r}; known: {list(COMPRESSION_ENCODING)}"
         )
     return COMPRESSION_ENCODING[compression]
 

@@ -58,14 +58,26 @@ def trip_clock(times: Column, unit: str) -> Column:
     )
 
 
+def finest_unit(df: DataFrame, column: str) -> str:
+    """Finest of us, ms and s in which all times of a trip layer lie within a 32-bit float."""
+    micros = F.transform(F.col(column), lambda t: F.unix_micros(t.cast("timestamp")))
+    edges = df.select(F.array_min(micros).alias("a"), F.array_max(micros).alias("b")).agg(F.min("a"), F.max("b"))
+    first, last = edges.first()
+    span = 0 if first is None else last - first
+    return next((u for u, per in (("us", 1), ("ms", 1000)) if span // per + 1 <= 1 << 25), "s")
+
+
 def trip_times_to_float(
-    df: DataFrame, column: str = "timestamps", unit: str = "us", name: str = "get_timestamps"
+    df: DataFrame, column: str = "timestamps", unit: str | None = None, name: str = "get_timestamps"
 ) -> DataFrame:
     """Trip times as 32-bit floats that start at the fixed clock start.
 
     A float holds whole numbers exactly only within 2**24 of zero, so a span of
     more than 2**25 units fails with the unit to choose instead of losing order.
+    Without a ``unit`` the finest one in which the span fits is taken.
     """
+    if unit is None:
+        unit = finest_unit(df, column)
     clocked = df.withColumn("_clock", trip_clock(F.col(column), unit))
     spans = clocked.agg(
         F.coalesce(F.min(F.array_min("_clock")), F.lit(0).cast("long")).alias("first"),

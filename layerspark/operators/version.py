@@ -79,11 +79,17 @@ def diff_layers(prev: DataFrame, curr: DataFrame) -> DataFrame:
     Needed columns: ``layer_id, position, num_rows, column_fps (map), geometry_fp,
     props_fp, tooltip``. Verdicts, from cheap to dear: ``unchanged``,
     ``tooltip_only``, ``props_only``, ``accessors_only`` (shapes kept),
-    ``geometry_changed``, ``new``, ``removed``.
+    ``encoding_changed`` (same shapes, but stored in another encoding),
+    ``geometry_changed``, ``new``, ``removed``. Encodings are compared where both
+    manifests have ``body_encoding``, in which plain Arrow is null.
     """
     fields = ["position", "num_rows", "column_fps", "geometry_fp", "props_fp", "tooltip"]
-    p = prev.select("layer_id", F.struct(*fields).alias("p"))
-    c = curr.select("layer_id", F.struct(*fields).alias("c"))
+    if "body_encoding" in prev.columns and "body_encoding" in curr.columns:
+        encoding = [F.col("body_encoding")]
+    else:
+        encoding = [F.lit(None).cast("string").alias("body_encoding")]
+    p = prev.select("layer_id", F.struct(*fields, *encoding).alias("p"))
+    c = curr.select("layer_id", F.struct(*fields, *encoding).alias("c"))
     both = p.join(c, "layer_id", "full_outer")
     old, new = F.map_entries("p.column_fps"), F.map_entries("c.column_fps")
     differing = F.array_union(F.array_except(old, new), F.array_except(new, old))
@@ -94,9 +100,11 @@ def diff_layers(prev: DataFrame, curr: DataFrame) -> DataFrame:
     same_tooltip = F.col("p.tooltip").eqNullSafe(F.col("c.tooltip"))
     # A null geometry fingerprint proves nothing, so it never counts as the same.
     same_shapes = same_rows & F.coalesce(F.col("p.geometry_fp") == F.col("c.geometry_fp"), F.lit(False))
+    same_encoding = F.col("p.body_encoding").eqNullSafe(F.col("c.body_encoding"))
     verdict = (
         F.when(F.col("p").isNull(), "new")
         .when(F.col("c").isNull(), "removed")
+        .when((same_data | same_shapes) & ~same_encoding, "encoding_changed")
         .when(same_data & same_props & same_tooltip, "unchanged")
         .when(same_data & same_props, "tooltip_only")
         .when(same_data, "props_only")

@@ -141,10 +141,8 @@ def rollup(source: str, cell: str, value: str = "value") -> str:
 
 
 def uniform(key: str, seed: int, stream: int) -> str:
-    x = f"((({key}) + {1 + 7919 * seed}) % {gen.MODULUS})"
-    for factor in (gen.MULTIPLIERS[stream % len(gen.MULTIPLIERS)], 48271, 16807):
-        x = f"(({x} * CAST({factor} AS BIGINT) + {12345 + stream}) % {gen.MODULUS})"
-    return f"({D(x)} / {D(float(gen.MODULUS))})"
+    digits = f"substr(md5('{seed}/{stream}/' || CAST({key} AS VARCHAR)), 1, 13)"
+    return f"(CAST(CAST('0x' || {digits} AS BIGINT) AS DOUBLE) / CAST(4503599627370496 AS DOUBLE))"
 
 
 def box_where(lon: str, lat: str, box) -> str:
@@ -270,7 +268,7 @@ def registry() -> dict[str, str]:
     summary = """s AS (SELECT n, mode, count(*) AS runs, max(b) AS wire_bytes, quantile_cont(ms, 0.5) AS median_ms
       FROM runs GROUP BY ALL)"""
     views = f"""WITH {INTERACTIONS} SELECT session, event_id, t, longitude, latitude, zoom, bearing FROM (
-      SELECT *, row_number() OVER (PARTITION BY session ORDER BY t DESC, event_id DESC) AS k FROM interactions) WHERE k = 1"""
+      SELECT *, row_number() OVER (PARTITION BY session ORDER BY t DESC, event_id DESC) AS k FROM interactions WHERE kind = 'view_state') WHERE k = 1"""
     scatter = f"""SELECT o_orderkey AS feature_id, {D(gen.BOX[0])} + {uniform('o_orderkey', 3, 0)} * {D(gen.BOX[2] - gen.BOX[0])} AS lon,
       {D(gen.BOX[1])} + {uniform('o_orderkey', 3, 1)} * {D(gen.BOX[3] - gen.BOX[1])} AS lat,
       {', '.join(f"CAST(floor({uniform('o_orderkey', 3, i)} * 255) AS INTEGER) AS {c}" for i, c in ((2, 'r'), (3, 'g'), (4, 'b')))},
@@ -300,6 +298,7 @@ def registry() -> dict[str, str]:
       UNION ALL SELECT user_id, 1, lon, lat FROM c WHERE n = 1"""
     view = to_json({"longitude": -122.45, "latitude": 37.75, "zoom": 10.0, "pitch": 0.0, "bearing": 0.0}, "v")
     tier = "CASE WHEN bytes >= 20000000 THEN 'parquet' WHEN bytes >= 1000000 THEN 'ipc-zstd' ELSE 'ipc' END"
+    budget_sizes = f"WITH {PLACES} SELECT 'layer-0' AS layer_id, count(*) AS rows, count(*) * 28 AS bytes FROM places UNION ALL SELECT 'layer-1', count(*), count(*) * (8 + 8 + 15 + 4) FROM part"
     out = {
         "flagship": f"""WITH {ramp} SELECT feature_id, lon AS geom_x, lat AS geom_y, CAST(radius AS DOUBLE) AS get_radius,
           category, name, {coloured} FROM places_nulls, edges WHERE lon IS NOT NULL""",
@@ -353,7 +352,8 @@ def registry() -> dict[str, str]:
         "coarsen": f"WITH {PLACES} SELECT feature_id, round(lon, 3) AS geom_x, round(lat, 3) AS geom_y FROM places",
         "coarsen_paths": thin,
         "float_geometry": f"WITH {PLACES} SELECT feature_id, CAST(CAST(lon AS FLOAT) AS DOUBLE) AS geom_x, CAST(CAST(lat AS FLOAT) AS DOUBLE) AS geom_y FROM places",
-        "check_budget": f"WITH {PLACES} SELECT 'layer-0' AS layer_id, count(*) AS rows, count(*) * 28 AS bytes FROM places UNION ALL SELECT 'layer-1', count(*), count(*) * (8 + 8 + 15 + 4) FROM part",
+        "check_budget": budget_sizes,
+        "budget_verdict": f"SELECT layer_id, bytes, CAST(sum(bytes) OVER () AS BIGINT) AS total, sum(bytes) OVER () > 50000 AS over_limit FROM ({budget_sizes})",
         "attach_stats": f"""WITH {GRID}, s AS (SELECT l_partkey AS cell_id, count(*) AS count, min(l_quantity) AS min, max(l_quantity) AS max,
           round(avg(l_quantity), 6) AS mean, round(stddev_pop(l_quantity), 6) AS std FROM lineitem GROUP BY 1)
           SELECT * FROM grid JOIN s USING (cell_id)""",
@@ -436,6 +436,8 @@ def registry() -> dict[str, str]:
         "throttle_kinds": f"""{next_pass(f"{INTERACTIONS}, considered AS (SELECT * FROM interactions WHERE kind <> 'clicked')", "session, kind", 12 * hour)}
           SELECT event_id, session, kind FROM passed UNION ALL SELECT event_id, session, kind FROM interactions WHERE kind = 'clicked'""",
         "throttle_stream": throttled,
+        "throttle_kinds_stream": f"""{next_pass(f"{INTERACTIONS}, considered AS (SELECT * FROM interactions WHERE kind <> 'clicked')", "session, kind", 12 * hour)}
+          SELECT event_id, session, kind FROM passed UNION ALL SELECT event_id, session, kind FROM interactions WHERE kind = 'clicked'""",
         "latest_view": views,
         "latest_view_stream": views,
         "picks_to_rows": f"WITH {PICKED} SELECT event_id, layer_id, row_index, feature_id, i.name FROM resolved r JOIN indexed i USING (layer_id, row_index)",

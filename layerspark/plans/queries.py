@@ -41,6 +41,7 @@ BRUSH_CENTER = (-122.45, 37.75)
 BRUSH_RADIUS_M = 3000.0
 VIEW = {"longitude": -122.45, "latitude": 37.75, "zoom": 12.0}
 HOUR_MS = 3_600_000
+BUDGET_MB = 0.05
 PART_VERTICES = 25
 # Rolled-up values are divided by a prime, so that no mean falls on a decimal tie,
 # which engines round differently.
@@ -297,6 +298,11 @@ def q_check_budget(spark, sf):
     return sizes[0].unionByName(sizes[1])
 
 
+def q_budget_verdict(spark, sf):
+    """The layers of ``check_budget`` against a limit that they exceed."""
+    return contract.budget_verdict(q_check_budget(spark, sf), BUDGET_MB)
+
+
 # Joins ----------------------------------------------------------------------
 
 
@@ -684,6 +690,13 @@ def q_throttle_stream(spark, sf):
     return _run_to_table(spark, passed, "append").select("event_id", "session")
 
 
+def q_throttle_kinds_stream(spark, sf):
+    """The stream twin: clicks pass, hovers and views are throttled apart."""
+    stream = _event_stream(spark, sf).select("event_id", "ts", "session", "kind")
+    passed = th.throttle_interactions_stream(stream, 12 * HOUR_MS)
+    return _run_to_table(spark, passed, "append").select("event_id", "session", "kind")
+
+
 def q_latest_view(spark, sf):
     return _views(ev.latest_view(fx.interactions(spark, sf)))
 
@@ -698,7 +711,7 @@ def q_latest_view_stream(spark, sf):
     run = stream.writeStream.foreachBatch(write).outputMode("update")
     _finish(run.option("checkpointLocation", scratch_path(spark, "views_cp")).trigger(availableNow=True).start())
     # Updates of a session overwrite each other: the last one stands.
-    return _views(ev.latest_view(spark.read.parquet(out)))
+    return _views(ev.latest_view(spark.read.parquet(out), kind=None))
 
 
 def _views(df: DataFrame) -> DataFrame:

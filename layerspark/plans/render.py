@@ -40,7 +40,7 @@ EDGES = ("west", "south", "east", "north")
 KEEP_DATA = ("unchanged", "tooltip_only", "props_only")
 
 
-def prepare_layer(df: DataFrame, spec: LayerSpec, time_unit: str = "us") -> DataFrame:
+def prepare_layer(df: DataFrame, spec: LayerSpec, time_unit: str | None = None) -> DataFrame:
     """Layer table of a spec: checked, pruned, trip times as floats."""
     layer = select_layer(df, spec)
     if spec.layer_type == "trip" and "get_timestamps" in layer.columns:
@@ -143,7 +143,7 @@ def write_map(
     previous: DataFrame | None = None,
     max_mb: float | None = None,
     rows_per_batch: int = ROWS_PER_BATCH,
-    time_unit: str = "us",
+    time_unit: str | None = None,
     strict: bool = True,
 ) -> DataFrame:
     """Write a map's layers and manifest below ``path`` and return the manifest.
@@ -172,10 +172,6 @@ def write_map(
             )
         )
         prepared.append((layer, spec, facts["encoding"]))
-    if max_mb is not None:
-        sizes = [(r["layer_id"], r["bytes"]) for r in rows]
-        check_budget(spark.createDataFrame(sizes, "layer_id string, bytes long"), max_mb)
-
     verdicts, old = _compare(spark, rows, previous)
 
     def store(i: int) -> None:
@@ -207,6 +203,11 @@ def write_map(
             row["byte_length"] = _encode(layer, spec, row, encoding, target, rows_per_batch)
 
     _together(store, len(rows))
+    if max_mb is not None:
+        # What is sent is what counts, so the check waits for the encoded bytes; without a
+        # manifest the files of a refused map are not found by any reader.
+        sizes = [(r["layer_id"], r["byte_length"]) for r in rows]
+        check_budget(spark.createDataFrame(sizes, "layer_id string, bytes long"), max_mb)
     manifest = manifest_frame(spark, rows)
     write_manifest(manifest, f"{path}/manifest")
     return manifest
@@ -250,5 +251,5 @@ def _refuse_broken(broken: dict[str, int], spec: LayerSpec) -> None:
 
 
 def _content_tag(row: dict[str, Any]) -> str:
-    text = f"{row['num_rows']}|" + "|".join(f"{k}:{v}" for k, v in sorted(row["column_fps"].items()))
+    text = f"{row['num_rows']}|{row['body_encoding']}|" + "|".join(f"{k}:{v}" for k, v in sorted(row["column_fps"].items()))
     return hashlib.sha256(text.encode()).hexdigest()[:16]

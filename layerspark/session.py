@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,29 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in workers import it, and a worker need not have it installed.
+    Spark hands the archive to every executor; its file is only read by the driver.
+    """
+    context = spark.sparkContext
+    name = "layerspark-package.zip"
+    if any(os.path.basename(f) == name for f in context._python_includes):
+        return spark
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="layerspark-"), name)
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(root):
+            for file in sorted(files):
+                if file.endswith(".py"):
+                    full = os.path.join(folder, file)
+                    out.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(archive)
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -16,17 +16,18 @@ JITTER = 0.01
 GRID_SPAN = 0.4
 GRID_FILL = 0.9
 GRID_SHIFT = 0.05
-# Multipliers of a multiplicative congruential generator modulo 2**31 - 1.
-MODULUS = 2147483647
-MULTIPLIERS = (48271, 69621, 16807, 39373, 742938285, 950706376)
+HASH_DIGITS = 13
 
 
 def uniform(id_col: Column, seed: int, stream: int) -> Column:
-    """Number in [0, 1) from an id: the same in every run and on every partitioning."""
-    x = F.pmod(id_col.cast("long") + F.lit(1 + 7919 * seed).cast("long"), F.lit(MODULUS).cast("long"))
-    for factor in (MULTIPLIERS[stream % len(MULTIPLIERS)], 48271, 16807):
-        x = F.pmod(x * F.lit(factor).cast("long") + F.lit(12345 + stream).cast("long"), F.lit(MODULUS).cast("long"))
-    return x / F.lit(float(MODULUS))
+    """Number in [0, 1) from an id: the same in every run, engine and partitioning.
+
+    The leading 52 bits of a digest of seed, stream and id, so that neighbouring ids
+    and different streams have nothing in common.
+    """
+    text = F.concat(F.lit(f"{seed}/{stream}/"), id_col.cast("long").cast("string"))
+    digits = F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS)
+    return F.conv(digits, 16, 10).cast("long") / F.lit(float(16**HASH_DIGITS))
 
 
 def scatter_points(

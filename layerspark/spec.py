@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 from typing import Any
@@ -117,8 +118,7 @@ def prop_name(name: str) -> str:
     """Camel-case name of a setting, with the fixed exceptions."""
     if name in PROP_NAMES:
         return PROP_NAMES[name]
-    first, *rest = name.split("_")
-    return first + "".join(word.title() for word in rest)
+    return re.sub("_+(.?)", lambda found: found[1].upper(), name)
 
 
 def to_json(value: Any, where: str) -> str:
@@ -126,14 +126,13 @@ def to_json(value: Any, where: str) -> str:
     bad = _non_finite(value, where)
     if bad:
         raise ValueError(
-            f"{bad} is a non-finite number (NaN or infinity), which JSON cannot hold. It usually "
-            "comes from a view state or prop computed over null geometries: pass an explicit "
-            "view state, or drop null geometries first"
+            f"{bad} is NaN or infinite, and JSON has no such number; set it by hand, or leave rows "
+            "without a shape out of what it is computed from"
         )
     try:
         return json.dumps(value, sort_keys=True, allow_nan=False)
     except TypeError as error:
-        raise ValueError(f"{where} must be JSON-safe: {error}") from error
+        raise ValueError(f"{where} cannot be written as JSON: {error}") from error
 
 
 def _non_finite(value: Any, where: str) -> str | None:
@@ -177,8 +176,8 @@ def check_layer(schema: StructType, spec: LayerSpec) -> None:
             )
     if spec.compression not in COMPRESSION_ENCODING:
         raise ValueError(
-            f"{where}: compression={spec.compression!r} is not supported; "
-            "use 'auto', 'zstd', 'parquet' or None"
+            f"{where}: no encoding is known for compression {spec.compression!r}; "
+            f"known: {list(COMPRESSION_ENCODING)}"
         )
     if spec.id_col not in schema.names:
         raise ValueError(f"{where}: id column {spec.id_col!r} is missing")

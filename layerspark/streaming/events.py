@@ -76,15 +76,19 @@ def latest_view(
     view: str = "view_state",
     ts: str = "ts",
     tie: str = "event_id",
+    kind: str | None = "kind",
 ) -> DataFrame:
     """Last reported view state per session; works on a table and on a stream (update mode).
 
+    Only view reports count; clicks and hovers may carry a view of their own. Without
+    ``kind`` every row is a view report.
+
     The last value combines before the shuffle, so a busy session costs one row per task.
     """
     place = F.struct(F.col(ts), F.col(tie))
     last = F.max_by(F.struct(F.col(ts), F.col(tie), F.col(view)), place)
     return (
-        events.where(F.col(view).isNotNull())
+        events.where((F.col(kind) == "view_state" if kind else F.lit(True)) & F.col(view).isNotNull())
         .groupBy(session)
         .agg(last.alias("_l"))
         .select(session, F.col(f"_l.{ts}").alias(ts), F.col(f"_l.{tie}").alias(tie), F.col(f"_l.{view}").alias(view))

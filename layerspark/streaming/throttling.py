@@ -108,6 +108,21 @@ def throttle_interactions(
     return clicks.unionByName(throttle(others, [session, kind], interval_ms, ts, tie))
 
 
+def throttle_interactions_stream(
+    events: DataFrame,
+    interval_ms: int = THROTTLE_MS,
+    session: str = "session",
+    kind: str = "kind",
+    ts: str = "ts",
+    tie: str = "event_id",
+    watermark: str = "10 minutes",
+) -> DataFrame:
+    """``throttle_interactions`` on a stream: clicks pass, hovers and views are throttled apart."""
+    clicks = events.withWatermark(ts, watermark).where(F.col(kind) == "clicked")
+    others = events.where(F.col(kind) != "clicked")
+    return clicks.unionByName(throttle_stream(others, (session, kind), interval_ms, ts, tie, watermark))
+
+
 def _walk(df: DataFrame, keys: Sequence[str], interval: int) -> DataFrame:
     """Pass through sorted pieces; memory stays at one record batch whatever their size."""
     ordered = df.repartition(*keys, "_run", "_piece").sortWithinPartitions(

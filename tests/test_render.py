@@ -70,10 +70,10 @@ def test_only_what_changed_is_written(spark, points, tmp_path):
     assert fresh["data_path"] != base["data_path"] and fresh["patch_path"] is None
 
 
-def test_budget_stops_before_anything_is_encoded(spark, points, tmp_path):
-    with pytest.raises(ValueError, match="dots.*Downsample"):
+def test_budget_refuses_the_map_before_its_manifest(spark, points, tmp_path):
+    with pytest.raises(ValueError, match="over budget.*dots"):
         write(spark, points, spec(), str(tmp_path / "m"), max_mb=0.01)
-    assert not (tmp_path / "m" / "layers").exists()
+    assert not (tmp_path / "m" / "manifest").exists()
 
 
 def test_broken_rows_are_refused(spark, points, tmp_path):
@@ -88,7 +88,7 @@ def test_layer_ids_must_differ(spark, points, tmp_path):
 
 
 def test_view_state_must_be_finite(spark, points, tmp_path):
-    with pytest.raises(ValueError, match="non-finite number.*explicit view state"):
+    with pytest.raises(ValueError, match="NaN or infinite.*by hand"):
         write_map(spark, [(points, spec())], str(tmp_path / "m"), MapSpec({"longitude": float("nan")}))
 
 

@@ -102,7 +102,7 @@ def test_latest_view_in_update_mode(spark, sf, sliced, tmp_path):
         .start()
     )
     query.awaitTermination()
-    got = {r["session"]: r["event_id"] for r in latest_view(spark.read.parquet(out)).collect()}
+    got = {r["session"]: r["event_id"] for r in latest_view(spark.read.parquet(out), kind=None).collect()}
     want = {r["session"]: r["event_id"] for r in latest_view(fx.interactions(spark, sf)).collect()}
     assert got == want and len(got) > 10
 
