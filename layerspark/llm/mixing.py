@@ -21,7 +21,7 @@ nodes, not of documents.
 Defined results: a null language or source is the leaf named by the empty string;
 texts without tokens (null, empty, blank) are never drawn, as they add nothing.
 Rows that repeat an id are documents of their own; ties in the order are broken by
-id, tokens and text digest, after which rows are equal and interchangeable. A
+id, tokens and text digest, and between equal rows by a number written beside them. A
 weight of zero or less takes nothing. An empty table gives an empty result.
 """
 
@@ -147,6 +147,7 @@ def draw(
         *[c.alias(n) for n, c in leaf.items()],
         word_count(body).alias("tokens"),
         F.md5(body.cast("binary")).alias("digest"),
+        F.monotonically_increasing_id().alias("number"),
         row.alias("row"),
     )
     slim = materialize(slim, "mix-docs").filter("tokens > 0")
@@ -162,22 +163,26 @@ def draw(
     placed = slim.join(broadcast_if_small(leaves), list(LEVELS)).withColumn("place", order)
     head = F.conv(F.substring("place", 1, 8), 16, 10).cast("long")
     placed = placed.withColumn("slice", F.shiftright(head * F.col("slices"), 32))
+    placed = placed.withColumn("at", F.struct("place", "doc_id", "tokens", "digest", "number"))
     # The slice in which each leaf's last epoch ends, and the tokens before it.
     sums = placed.filter("rest > 0").groupBy(*LEVELS, "slice", "rest").agg(F.sum("tokens").alias("tokens"))
     upto = F.sum("tokens").over(Window.partitionBy(*LEVELS).orderBy("slice"))
     cuts = sums.withColumn("upto", upto).filter("upto >= rest and upto - tokens < rest")
     cuts = materialize(cuts.select(*LEVELS, F.col("slice").alias("cut"), (F.col("upto") - F.col("tokens")).alias("gone")), "mix-cuts")
-    placed = placed.join(broadcast_if_small(cuts), list(LEVELS), "left")
-    rest_of_epochs = F.when(F.col("slice") < F.col("cut"), F.col("epochs") + 1).otherwise(F.col("epochs"))
-    sure = placed.withColumn("times", rest_of_epochs).filter("times > 0")
-    sure = sure.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
-    sure = sure.withColumn("taken", F.col("tokens"))
-    within = Window.partitionBy(*LEVELS).orderBy("place", "doc_id", "tokens", "digest")
-    before = F.coalesce(F.sum("tokens").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    last = placed.filter("slice = cut").withColumn("before", F.col("gone") + before).filter("before < rest")
-    last = last.withColumn("taken", F.least("tokens", F.col("rest") - F.col("before"))).withColumn("epoch", F.col("epochs"))
-    columns = ["doc_id", *LEVELS, "epoch", "tokens", "taken", *(["row"] if carry else [])]
-    return sure.select(*columns).unionByName(last.select(*columns))
+    # The last document read of that slice; only narrow columns are ordered.
+    narrow = placed.drop("row").join(broadcast_if_small(cuts), list(LEVELS)).filter("slice = cut")
+    within = Window.partitionBy(*LEVELS).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("gone") + F.coalesce(F.sum("tokens").over(within), F.lit(0))
+    read = narrow.withColumn("before", before).filter("before < rest")
+    edges = read.groupBy(*LEVELS).agg(F.max("at").alias("edge"), F.max("before").alias("before"))
+    edges = materialize(edges, "mix-edges")
+    drawn = placed.join(broadcast_if_small(edges), list(LEVELS), "left")
+    once_more = F.coalesce(F.col("at") <= F.col("edge"), F.lit(False)).cast("int")
+    drawn = drawn.withColumn("times", F.col("epochs") + once_more).filter("times > 0")
+    drawn = drawn.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
+    at_edge = (F.col("epoch") == F.col("epochs")) & (F.col("at") == F.col("edge"))
+    taken = F.when(at_edge, F.least("tokens", F.col("rest") - F.col("before"))).otherwise(F.col("tokens"))
+    return drawn.select("doc_id", *LEVELS, "epoch", "tokens", taken.alias("taken"), *(["row"] if carry else []))
 
 
 def token_prefix(text: Column, tokens: Column) -> Column:
