@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from layerspark.llm.common import most_frequent
 from layerspark.session import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -126,8 +127,8 @@ def word_counts(pages: DataFrame, text: str) -> dict[str, int]:
     body = F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), "<[^>]*>", " "))
     words = pages.select(F.explode(F.split(body, "[^a-z]+")).alias("w"))
     words = words.filter(F.length("w").between(2, LONGEST_WORD)).groupBy("w").count()
-    most = words.orderBy(F.desc("count"), "w").limit(VOCABULARY).collect()
-    counts = {r["w"]: r["count"] for r in most}
+    words = materialize(words, "url-vocabulary")
+    counts = {r["w"]: r["count"] for r in most_frequent(words, VOCABULARY).collect()}
     for w in (*UNWANTED, *ORDINARY):
         counts[w] = counts.get(w, 0) + LEXICON_COUNT
     return counts
@@ -173,11 +174,12 @@ def bayes(tokens: DataFrame, smoothing: float = 1.0) -> tuple[dict[str, float],
     words = labelled.select(F.explode("words").alias("w"), "bad").groupBy("w").agg(
         F.count_if("bad").alias("bad"), F.count("*").alias("n")
     )
+    words = materialize(words, "url-tokens")
     size, bad_all, all_ = words.agg(
         F.count("*"), F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))
     ).first()
     odds = {}
-    for r in words.orderBy(F.desc("n"), "w").limit(VOCABULARY).collect():
+    for r in most_frequent(words, VOCABULARY, "n").collect():
         bad = (r["bad"] + smoothing) / (bad_all + smoothing * size)
         good = (r["n"] - r["bad"] + smoothing) / (all_ - bad_all + smoothing * size)
         odds[r["w"]] = math.log(bad / good)
