@@ -63,6 +63,11 @@ def most_frequent(counts: DataFrame, limit: int, count: str = "count") -> DataFr
     return counts.filter(level >= least) if least is not None else counts.limit(0)
 
 
+def hashed_share(seed: int, *columns: str | Column, share: float) -> Column:
+    """True for about ``share`` of the values, the same ones in every run."""
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+
+
 def fresh_name(columns: list[str], wanted: str) -> str:
     """``wanted``, underscored until no column has that name (in any case)."""
     taken = {c.lower() for c in columns}

@@ -32,11 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerspark.llm.common import hashed_share
 from layerspark.session import materialize
 
 K = 20
 QUERY_STEP = 20
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
+LIST_SHARE = 0.25
 BLOCK_ROWS = 2048
 QUERY_ROWS = 256
 COLUMNS = 16
@@ -96,7 +98,7 @@ class Frame:
         self.square, self.dim = square, sample.shape[1] + 1
         rng = np.random.default_rng(seed)
         self.rotation = np.linalg.qr(rng.normal(size=(self.dim, self.dim)))[0]
-        lists = int(min(MAX_LISTS, max(1, round(rows**0.5)), len(sample)))
+        lists = int(min(MAX_LISTS, max(1, round(LIST_SHARE * rows**0.5)), len(sample)))
         self.centers = kmeans(self.turned(sample), lists, seed)
         self.probes = self.calibrate(sample, k, target)
 
@@ -125,11 +127,13 @@ class Frame:
 
 
 def fit(vectors: DataFrame, k: int = K, target: float = TARGET_RECALL, seed: int = SEED) -> Frame | None:
-    """Centroids from at most ``SAMPLE_ROWS`` rows, the first in a seeded random order."""
+    """Centroids from about ``SAMPLE_ROWS`` rows drawn by hash, or from all if there are fewer."""
     rows, square = vectors.agg(F.count("*"), F.max("square")).first()
     if not rows:
         return None
-    sample = vectors.orderBy(F.xxhash64(F.lit(seed), "row"), "row").select("vec").limit(SAMPLE_ROWS).collect()
+    share = SAMPLE_ROWS / max(rows, SAMPLE_ROWS)
+    some = vectors.filter(hashed_share(seed, "row", share=share)) if share < 1 else vectors
+    sample = sorted(some.select(F.xxhash64("row"), "vec").collect())
     return Frame(np.array([r["vec"] for r in sample], dtype=np.float64), rows, square, k, target, seed)
 
 
