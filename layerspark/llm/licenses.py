@@ -3,8 +3,8 @@
 Paragraphs are the lines of a text. A multinomial logistic regression over sparse
 word n-grams (one to three words) gives each the probability of a licence family or
 of none. It is trained here, on variants of the templates below and on a bounded
-sample of lines from the documents (``SAMPLE_LINES``, the first in a seeded random
-order); lines that resemble a template are left out of the sample. On held-out
+sample of lines from the documents (``SAMPLE_LINES`` lines of ``SAMPLE_DOCS`` documents,
+drawn by hash); lines that resemble a template are left out of the sample. On held-out
 variants a temperature calibrates the probabilities, and the least confidence at which
 their precision reaches ``PRECISION`` becomes the threshold. A paragraph that is likely
 some licence but below the threshold, or whose family's templates do not confirm it
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerspark.llm.common import text_or_empty
+from layerspark.llm.common import hashed_share, text_or_empty
 
 # How the families are commonly worded.
 TEMPLATES = {
@@ -107,6 +107,7 @@ HARMLESS = (
     "The city of Apache lies in the north and the university is near.",
     "All of the work was released in the following year.",
 )
+SAMPLE_DOCS = 2000
 SAMPLE_LINES = 3000
 VARIANTS = 24
 VOCABULARY = 6000
@@ -249,9 +250,15 @@ def _calibrated(model: Model, z: np.ndarray, y: np.ndarray) -> Model:
     return model
 
 
-def fit(docs: DataFrame, text: str = "text", sample_lines: int = SAMPLE_LINES, seed: int = SEED) -> Model:
-    """Model with a bounded sample of the documents' lines as its other class."""
-    lines = docs.select(F.explode(F.split(text_or_empty(text), "\n")).alias("line"))
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_lines: int = SAMPLE_LINES, seed: int = SEED) -> Model:
+    """Model with a bounded sample of the documents' lines as its other class.
+
+    About ``SAMPLE_DOCS`` documents are drawn by hash, and of their lines the first
+    ``sample_lines`` in a seeded order.
+    """
+    share = SAMPLE_DOCS / max(docs.count(), SAMPLE_DOCS)
+    some_docs = docs.filter(hashed_share(seed, key, text, share=share)) if share < 1 else docs
+    lines = some_docs.select(F.explode(F.split(text_or_empty(text), "\n")).alias("line"))
     lines = lines.filter(F.length("line").between(1, 2000))
     order = F.xxhash64(F.lit(seed), "line")
     some = lines.orderBy(order, "line").limit(sample_lines).collect()
@@ -265,7 +272,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", model: Model
     paragraph as family:start:end in code points, ``n_unknown`` counts those that are no
     known family, and ``confidence`` is the largest probability among confirmed ones.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs, text))
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(docs, key, text))
     slim = docs.select(F.col(key).alias("doc_id"), text_or_empty(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
