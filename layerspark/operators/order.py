@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerspark.functions.widths import row_width
 from layerspark.session import broadcast_if_small, materialize
 
 
@@ -35,6 +36,7 @@ def row_index(
     partitions: int | None = None,
     name: str = "row_index",
     within: Sequence[str] = (),
+    keep_part: bool = False,
 ) -> DataFrame:
     """Position of each row, from 0, in the order of the given columns.
 
@@ -46,6 +48,7 @@ def row_index(
     the scratch folder, so that the numbers stay fixed while the per-partition
     counts (one row per partition, which bounds the broadcast) become offsets.
     Equal order keys stay in one partition: give enough columns to tell rows apart.
+    ``keep_part`` keeps the number of the partition as ``_part``.
     """
     if list(order[: len(within)]) != list(within):
         raise ValueError("the columns of 'within' must lead the order")
@@ -66,8 +69,10 @@ def row_index(
         table.withColumn("_part", partition)
         .join(F.broadcast(offsets), "_part")
         .withColumn("row_index", F.col("row_offset") + place)
-        .drop("_part", "_spot", "row_offset")
+        .drop("_spot", "row_offset")
     )
+    if not keep_part:
+        indexed = indexed.drop("_part")
     if not within:
         return indexed
     first = indexed.groupBy(*within).agg(F.min("row_index").alias("_first"))
@@ -80,15 +85,49 @@ def assign_batches(
     rows_per_batch: int,
     order: Sequence[str] = ("feature_id",),
     partitions: int | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """Batch number and position, from the order columns alone.
+    """Batch number and position, from the order columns and the rows' widths alone.
 
     Unlike a partition number, the batch does not depend on sampled bounds, so
-    the same rows give the same batches in every run.
+    the same rows give the same batches in every run. A batch ends after
+    ``rows_per_batch`` rows, or with the row that takes the running width past a
+    multiple of ``bytes_per_batch``: it is at most one row wider than that.
     """
-    indexed = row_index(df, order, partitions, "batches")
-    return indexed.withColumn(
-        "batch_id", F.floor(F.col("row_index") / F.lit(rows_per_batch)).cast("long")
+    if bytes_per_batch is None:
+        indexed = row_index(df, order, partitions, "batches")
+        return indexed.withColumn("batch_id", F.floor(F.col("row_index") / F.lit(rows_per_batch)).cast("long"))
+    width = F.ceil(row_width(df.schema)).cast("long")
+    indexed = row_index(df.withColumn("_width", width), order, partitions, "batches", keep_part=True)
+    # Only positions and widths are shuffled to find where batches start.
+    slim = indexed.select("_part", "row_index", "_width")
+    parts = slim.groupBy(F.col("_part").alias("batch_id")).agg(F.sum("_width").alias("num_rows"))
+    bytes_before = row_offsets(parts.withColumn("layer_id", F.lit("batches")))
+    bytes_before = bytes_before.select(F.col("batch_id").alias("_part"), F.col("row_offset").alias("_before"))
+    earlier = Window.partitionBy("_part").orderBy("row_index").rowsBetween(Window.unboundedPreceding, -1)
+    running = F.coalesce(F.sum("_width").over(earlier), F.lit(0))
+    full = F.floor(F.col("row_index") / F.lit(rows_per_batch)) + F.floor(
+        (F.col("_before") + F.col("_running")) / F.lit(bytes_per_batch)
+    )
+    cut = slim.withColumn("_running", running).join(F.broadcast(bytes_before), "_part").withColumn("_full", full)
+    starts = cut.groupBy("_full").agg(F.min(F.struct("row_index", "_part")).alias("s")).select("s.*")
+    starts = starts.groupBy("_part").agg(
+        F.array_sort(F.collect_list("row_index")).alias("_starts"), F.count(F.lit(1)).alias("num_rows")
+    )
+    none = F.array().cast("array<long>")
+    found = bytes_before.join(starts, "_part", "left").select(
+        F.lit("batches").alias("layer_id"),
+        F.col("_part").alias("batch_id"),
+        F.coalesce("num_rows", F.lit(0)).alias("num_rows"),
+        F.coalesce("_starts", none).alias("_starts"),
+    )
+    # One row per partition, and in them one number per batch.
+    found = row_offsets(found).select(F.col("batch_id").alias("_part"), "_starts", "row_offset")
+    here = F.size(F.filter("_starts", lambda start: start <= F.col("row_index")))
+    return (
+        indexed.join(F.broadcast(found), "_part")
+        .withColumn("batch_id", (F.col("row_offset") + here - 1).cast("long"))
+        .drop("_part", "_width", "_starts", "row_offset")
     )
 
 

@@ -14,7 +14,7 @@ from layerspark.operators.skew import hot_keys, split_hot
 from layerspark.session import broadcast_if_small
 from layerspark.spec import LayerSpec, check_layer, geometry_columns
 
-# Vertices of a path kept in one row; longer paths are cut into joined parts.
+# Vertices of one part of a path.
 PATH_VERTICES = 100_000
 
 
@@ -87,12 +87,13 @@ def path_from_vertices(
     time: str | None = None,
     max_vertices: int = PATH_VERTICES,
 ) -> DataFrame:
-    """One row per path with its vertices in order, and their times if asked.
+    """Paths as parts with their vertices in order, and their times if asked.
 
-    Vertices without coordinates are left out. A path longer than
-    ``max_vertices`` becomes several rows, ``part`` 0, 1, ..., that share the
-    vertex where they meet, so that no task ever holds a whole huge path and the
-    drawn line is the same. ``order`` must tell the vertices of a path apart.
+    A row is a part of a path, whatever the path's length: ``part_id`` (path id and
+    part number) is the id of its feature, beside ``path_id`` and ``part`` 0, 1, ....
+    Parts have ``max_vertices`` vertices at most and share the one where they meet, so
+    that no task ever holds a whole huge path and the drawn line is the same. Vertices
+    without coordinates are left out. ``order`` must tell the vertices of a path apart.
     """
     if max_vertices < 2:
         raise ValueError("a path part needs at least two vertices")
@@ -113,7 +114,8 @@ def path_from_vertices(
     )
     gathered = whole.groupBy(path_id, "part").agg(F.array_sort(F.collect_list(vertex)).alias("_v"))
     path = geo.as_geometry(F.transform("_v", lambda v: v["xy"]), "geometry", "linestring")
-    out = [F.col(path_id), F.col("part"), path]
+    part_id = F.concat_ws("/", F.col(path_id).cast("string"), F.col("part").cast("string"))
+    out = [F.col(path_id), F.col("part"), part_id.alias("part_id"), path]
     if time:
         out.append(F.transform("_v", lambda v: v["t"]).alias("timestamps"))
     return gathered.select(*out)

@@ -225,7 +225,7 @@ def _encode(
     layer: DataFrame, spec: LayerSpec, row: dict[str, Any], encoding: str, target: str, per_batch: int
 ) -> int:
     encoded = encode_layer(
-        layer, spec.layer_id, encoding, per_batch, spec.id_col, num_rows=row["num_rows"]
+        layer, spec.layer_id, encoding, per_batch, spec.id_col, num_rows=row["num_rows"], num_bytes=row["bytes"]
     )
     encoded.write.mode("overwrite").option("compression", "none").parquet(target)
     written = layer.sparkSession.read.parquet(target)

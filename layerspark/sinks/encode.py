@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from layerspark.functions.widths import fixed_list
+from layerspark.functions.widths import fixed_list, row_width
 from layerspark.operators.order import assign_batches
 from layerspark.spec import ENCODINGS, GEOMETRY_KEY
 
-# Rows of one encoded batch, which bounds the memory of a task.
+# A batch ends at whichever comes first. The bytes, of the uncompressed columns, bound
+# the memory of a task and keep a payload far below what one binary value may hold.
 ROWS_PER_BATCH = 500_000
+BYTES_PER_BATCH = 128 << 20
 PAYLOAD_SCHEMA = (
     "layer_id string, batch_id long, num_rows long, encoding string, byte_length long, payload binary"
 )
@@ -30,22 +32,25 @@ def encode_layer(
     id_col: str = "feature_id",
     keep_id: bool = True,
     num_rows: int | None = None,
+    num_bytes: int | None = None,
+    bytes_per_batch: int = BYTES_PER_BATCH,
 ) -> DataFrame:
     """One row per batch with its encoded bytes.
 
-    Batches follow the id order alone, so equal content gives equal bytes however
-    the input was partitioned. Each batch is encoded in the task that holds it. A
-    layer known or counted to fit one batch is only sorted; a bigger one is
-    numbered first.
+    Batches follow the id order and the rows' widths alone, so equal content gives
+    equal bytes however the input was partitioned. Each batch is encoded in the task
+    that holds it. A layer known or counted to fit one batch, in rows and in bytes, is
+    only sorted; a bigger one is numbered first.
     """
     if encoding not in ENCODINGS:
         raise ValueError(f"unknown encoding {encoding!r}")
-    if num_rows is None:
-        num_rows = df.count()
-    if num_rows <= rows_per_batch:
+    if num_rows is None or num_bytes is None:
+        size = F.coalesce(F.sum(F.ceil(row_width(df.schema))), F.lit(0))
+        num_rows, num_bytes = df.agg(F.count(F.lit(1)), size).first()
+    if num_rows <= rows_per_batch and num_bytes <= bytes_per_batch:
         ordered = df.withColumn("batch_id", F.lit(0).cast("long")).repartition(1).sortWithinPartitions(id_col)
     else:
-        batched = assign_batches(df, rows_per_batch, [id_col]).drop("row_index")
+        batched = assign_batches(df, rows_per_batch, [id_col], bytes_per_batch=bytes_per_batch).drop("row_index")
         ordered = batched.repartition("batch_id").sortWithinPartitions("batch_id", id_col)
     names = [c for c in df.columns if keep_id or c != id_col]
     plan = _wire_plan(df.schema, names)

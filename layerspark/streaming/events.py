@@ -9,14 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from layerspark.operators.picks import lookup_rows, resolve_picks
-from layerspark.session import BROADCAST_ROWS
 
 # Which interactions are reported unless a flag says otherwise.
 DEFAULT_FLAGS = {"clicked": True, "hovered": False, "view_state": False}
 
-# Picked rows of one micro-batch that are looked up by a filter on the layer's scan.
-FEW_PICKS = 1_000
-
 
 def read_events(
     spark: SparkSession,
@@ -100,30 +96,22 @@ def rows_writer(
     layer: DataFrame,
     write: Callable[[DataFrame, int], None],
     kind: str = "kind",
-    few: int = FEW_PICKS,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that turns clicks and hovers into source rows.
 
-    A micro-batch usually holds few picks next to a huge layer. Then their row
-    numbers go to the layer's scan as a filter, and the picks are broadcast, so
-    the layer is neither shuffled nor read where no row was picked. With more
-    than ``few`` rows picked the ordinary join is used.
+    The picks of a micro-batch are kept while it runs, and their first and last row
+    bound the layer's scan. Spark knows their size and broadcasts them when they are
+    few, so that the layer need not be shuffled.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        picks = resolve_picks(batch.where(F.col(kind).isin("clicked", "hovered")), sub_layers)
-        wanted = picks.groupBy("layer_id", "row_index").agg(F.count(F.lit(1)).alias("n"))
-        total = wanted.agg(F.count("n").alias("rows"), F.sum("n").alias("picks")).first()
-        if 0 < total["rows"] <= few and total["picks"] <= BROADCAST_ROWS:
-            keys = wanted.select("layer_id", "row_index").collect()
-            indexes = sorted({k["row_index"] for k in keys})
-            near = F.col("row_index").between(indexes[0], indexes[-1])
-            chosen = layer.where(F.col("layer_id").isin(sorted({k["layer_id"] for k in keys})))
-            chosen = chosen.where(near & F.col("row_index").isin(indexes))
-            rows = lookup_rows(F.broadcast(picks), chosen)
-        else:
-            rows = lookup_rows(picks, layer)
-        write(rows, batch_id)
+        picks = resolve_picks(batch.where(F.col(kind).isin("clicked", "hovered")), sub_layers).persist()
+        try:
+            first, last = picks.agg(F.min("row_index"), F.max("row_index")).first()
+            near = F.lit(False) if first is None else F.col("row_index").between(first, last)
+            write(lookup_rows(picks, layer.where(near)), batch_id)
+        finally:
+            picks.unpersist()
 
     return run
 

@@ -161,3 +161,31 @@ def test_mixed_lengths_are_refused(spark):
     df = spark.createDataFrame([(1, [1, 2, 3]), (2, [1, 2, 3, 4])], "feature_id long, c array<smallint>")
     with pytest.raises(Exception, match="one length"):
         encode_layer(df, "l", "ipc").collect()
+
+
+def test_batches_are_cut_by_bytes_too(spark):
+    """A few very long texts among short ones: no batch outgrows the limit by more than a row."""
+    limit = 20_000
+    df = spark.range(3_000).select(
+        F.col("id").alias("feature_id"),
+        F.expr("repeat('x', CASE WHEN id % 500 = 7 THEN 30000 ELSE int(id % 40) END)").alias("name"),
+    )
+    runs = []
+    for pieces in (1, 7):
+        rows = encode_layer(df.repartition(pieces), "l", "ipc", 1_000, bytes_per_batch=limit).orderBy("batch_id").collect()
+        assert [r["batch_id"] for r in rows] == list(range(len(rows)))
+        runs.append([bytes(r["payload"]) for r in rows])
+    assert runs[0] == runs[1]
+    tables = [decode_payload(p, "ipc") for p in runs[0]]
+    assert pa.concat_tables(tables).column("feature_id").to_pylist() == list(range(3_000))
+    assert max(t.num_rows for t in tables) <= 1_000
+    for table in tables:
+        widths = [16 + len(x) for x in table.column("name").to_pylist()]
+        assert sum(widths[:-1]) <= limit + 4_000
+    assert len(tables) >= 6 * 30_000 // limit
+
+
+def test_rows_alone_cut_as_before(spark):
+    df = spark.range(2_500).select(F.col("id").alias("feature_id"))
+    rows = encode_layer(df, "l", "ipc", 1_000).orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["num_rows"]) for r in rows] == [(0, 1_000), (1, 1_000), (2, 500)]

@@ -5,7 +5,7 @@ import json
 import pytest
 from layerspark.operators import shape, style
 from layerspark.plans.render import manifest_of, prepare_layer, write_map
-from layerspark.operators.version import column_fingerprints, diff_layers, geometry_fingerprint
+from layerspark.operators.version import column_fingerprints, diff_layers, diff_rows, geometry_fingerprint
 from layerspark.sinks import decode_payload
 from layerspark.sources import gen_points, gen_square_grid
 from layerspark.spec import Extension, LayerSpec, MapSpec
@@ -160,3 +160,23 @@ def test_cell_layers_have_no_view_of_their_own(spark, points, tmp_path):
     with pytest.warns(UserWarning, match="pass a view state"):
         row = write_map(spark, [(points, cells)], str(tmp_path / "m")).first()
     assert json.loads(row["view_state"])["zoom"] == 0.0
+
+
+@pytest.mark.parametrize("most", [5, 1_000])
+def test_parts_of_long_paths_are_features_of_their_own(spark, tmp_path, most):
+    rows = [(i % 3, i, float(i % 170), float(i % 80)) for i in range(60)]
+    df = spark.createDataFrame(rows, "path long, t long, lon double, lat double")
+    paths = shape.path_from_vertices(df, "path", ["t"], max_vertices=most)
+    layer = LayerSpec("roads", "path", id_col="part_id", tooltip=("path", "part"))
+    first = write(spark, paths, layer, str(tmp_path / "map"))
+    found = {}
+    for r in spark.read.parquet(first.first()["data_path"]).collect():
+        for one in decode_payload(bytes(r["payload"]), r["encoding"]).to_pylist():
+            assert one["part_id"] == f"{one['path']}/{one['part']}" and one["part_id"] not in found
+            found[one["part_id"]] = one["geometry"]
+    for path in range(3):
+        parts = [found[k] for k in sorted((k for k in found if k.startswith(f"{path}/")), key=lambda k: int(k[2:]))]
+        joined = parts[0] + [v for p in parts[1:] for v in p[1:]]
+        assert joined == [[lon, lat] for p, _, lon, lat in rows if p == path]
+    changed = diff_rows(paths, paths, "part_id")
+    assert changed.filter("verdict = 'duplicate_id'").count() == 0
