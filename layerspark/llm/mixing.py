@@ -100,19 +100,22 @@ def leaf_budgets(sizes: DataFrame, mixture: Mixture) -> DataFrame:
 
     ``sizes`` is a stored table of the leaves.
     """
-    total = sizes.agg((F.coalesce(F.sum("tokens"), F.lit(0)) * mixture.budget_percent / 100).alias("given"))
-    given = total.select(F.floor("given").cast("double").alias("given"))
+    tokens = sizes.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    given = None
     for depth, level in enumerate(LEVELS):
         keys = list(LEVELS[: depth + 1])
         nodes = sizes.groupBy(*keys).agg(
             (F.sum("tokens") * mixture.epochs).alias("can"), F.sum("tokens").alias("tokens"), F.sum("docs").alias("docs")
         )
         nodes = nodes.withColumn("weight", F.greatest(mixture.weight(level, F.col(level)), F.lit(0).cast("long")))
-        # One row has no key to join by; a scalar comparison keeps it out of a cross join.
-        parents = given.withColumn("root", F.lit(0)) if depth == 0 else given
-        nodes = nodes.withColumn("root", F.lit(0)) if depth == 0 else nodes
-        on = ["root"] if depth == 0 else keys[:-1]
-        shared = _share(nodes.join(parents, on), on, level)
+        if given is None:
+            on = ["root"]
+            budget = float(tokens * mixture.budget_percent // 100)
+            nodes = nodes.withColumns({"root": F.lit(0), "given": F.lit(budget)})
+        else:
+            on = keys[:-1]
+            nodes = nodes.join(given, on)
+        shared = _share(nodes, on, level)
         given = shared.select(*keys, "given", "tokens", "docs")
         if depth < len(LEVELS) - 1:
             given = given.drop("tokens", "docs")
