@@ -30,9 +30,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-    )

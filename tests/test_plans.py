@@ -7,7 +7,7 @@ from layerspark.plans import fixtures as fx
 from layerspark.plans.queries import registry
 from layerspark.sources import scan_cell_stats, scan_layer
 from layerspark.spec import LayerSpec
-from conftest import plan_of
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 

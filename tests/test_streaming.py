@@ -2,7 +2,7 @@
 
 import pytest
 from layerspark.plans import fixtures as fx
-from conftest import plan_of
+from plan_text import plan_of
 from layerspark.streaming import (
     gate,
     gated_writer,
