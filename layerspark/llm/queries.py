@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from layerspark.llm import (
     htmltext,
@@ -17,6 +18,7 @@ from layerspark.llm import (
     sharding,
     simhash,
     urlfilter,
+    whitening,
 )
 from layerspark.llm.common import table
 
@@ -63,6 +65,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The contract asks for a long, which holds the deviation up to about a billion vectors.
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -75,4 +83,5 @@ def registry() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_sharding": op10_sharding,
+        "op13_embedding_whitening": op13_embedding_whitening,
     }
