@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+# A key with more than this part of all rows is hot; there are fewer such keys than that.
+HOT_SHARE = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,3 +76,20 @@ def fresh_name(columns: list[str], wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = "_" + wanted
     return wanted
+
+
+def join_spread(rows: DataFrame, side: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """``rows`` joined with ``side``, whose ``count`` says how many rows have each key.
+
+    Keys of more than a ``HOT_SHARE``-th of all ``total`` rows are fewer than
+    ``HOT_SHARE``, so they are broadcast (``side`` must be narrow); no other key can
+    fill a task.
+    """
+    hot = F.col(count) * HOT_SHARE > F.lit(total)
+    named = side.withColumnsRenamed({k: f"side_{k}" for k in keys})
+    few = F.broadcast(named.filter(hot))
+    same = [F.col(k) == F.col(f"side_{k}") for k in keys]
+    drop = [f"side_{k}" for k in keys]
+    first = rows.join(few, same).drop(*drop)
+    rest = rows.join(few.select(*drop), same, "left_anti")
+    return first.unionByName(rest.join(named.filter(~hot), same).drop(*drop))

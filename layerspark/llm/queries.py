@@ -17,6 +17,7 @@ from layerspark.llm import (
     quality,
     sharding,
     simhash,
+    trie,
     urlfilter,
     whitening,
 )
@@ -65,6 +66,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The contract asks for a long, which holds the deviation up to about a billion vectors.
     rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -83,5 +88,6 @@ def registry() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_sharding": op10_sharding,
+        "op11_prefix_trie": op11_prefix_trie,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
