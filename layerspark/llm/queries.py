@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from layerspark.llm import (
     htmltext,
+    jaccard,
     licenses,
     mixing,
     nearest,
@@ -70,6 +71,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The contract asks for a long, which holds the deviation up to about a billion vectors.
     rows = whitening.whiten(table(spark, sf_dir, "embeddings"))
@@ -89,5 +94,6 @@ def registry() -> dict[str, Query]:
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_sharding": op10_sharding,
         "op11_prefix_trie": op11_prefix_trie,
+        "op12_ngram_join": op12_ngram_join,
         "op13_embedding_whitening": op13_embedding_whitening,
     }
