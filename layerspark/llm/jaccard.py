@@ -12,8 +12,9 @@ hence the prefix is extended until
 the number of tokens a partner may lack, plus one. Then two sets that link share a
 signature: with none shared, at most k - 1 tokens of each group of the shorter prefix
 are common, and what is left cannot make up the overlap. Combinations are formed within
-``M`` groups of each class, by hash; ``M`` follows the prefix in powers of two, which
-keeps combinations linear in the prefix. Close to a power a set is listed under both.
+groups of each class, by hash, whose number follows the prefix of the set's size band;
+this keeps combinations linear in the prefix. Signatures meet within a band only, and a
+set close above a band's lower end is listed in the band below too.
 
 Order and classes: tokens whose hash lies below ``ZONE`` come first, rare ones before
 frequent ones, then the others by hash. Only those of the zone are counted, over all
@@ -22,11 +23,12 @@ bounds what is broadcast; the rest are single tokens. Classes decide how much wo
 done, never which pairs are found.
 
 Equal sets are one class of copies. Sets with a common signature are not paired with
-each other: each meets the signature's smallest set first (a star), and that settles
-groups of near copies of any size in linear work. Only where a signature still holds
-sets of different components, the centres of their stars are compared, and sets around
-them only if the triangle inequality of the Jaccard distance leaves room for a link. All
-comparisons are exact, on whole sets rebuilt from the texts of the candidates.
+each other: each meets the signature's first set (a star), and that settles groups of
+near copies of any size in linear work. Only where a signature still holds sets of
+different components, the centres of their stars are compared, and sets around them only
+if the triangle inequality of the Jaccard distance leaves room for a link. Pairs whose
+sizes alone rule a link out are not compared. All comparisons are exact, on whole sets
+rebuilt from the texts of the candidates.
 
 Defined results: null, empty and blank texts have no set and link with nothing, not even
 each other; texts shorter than a shingle have their word sequence as the only token.
@@ -58,8 +60,8 @@ LEAST_PERCENT = 80
 # Hashes of the zone, as a part of 2 ** 64 that is positive as a signed number.
 ZONE = 3 << 60
 # Sets that a token of class 2, and of class 3, is in at least.
-CLASS_SETS = (33, 1025)
-FREQUENT = 1 << 17
+CLASS_SETS = (3, 129)
+FREQUENT = 1 << 18
 # Partners of one set compared in one piece, and sets of one signature paired in one piece.
 PIECE = 256
 # Distances are quotients of counts far below 2 ** 40.
@@ -92,6 +94,17 @@ def prefix_size(n: int, percent: int) -> int:
     return n + percent * n // -100 + 1
 
 
+def band_start(n: int) -> int:
+    """Least size of n's band: a power of two, or one and a half times one."""
+    power = 1 << (n.bit_length() - 1)
+    return power + power // 2 if power > 1 and n >= power + power // 2 else power
+
+
+def bands(n: int, percent: int) -> set[int]:
+    """Bands of a set and of its smallest possible partner."""
+    return {band_start(n), band_start(-(percent * n // -100))}
+
+
 def group_count(n: int, percent: int) -> int:
     return 1 << max(0, (prefix_size(n, percent) // 4).bit_length() - 1)
 
@@ -184,8 +197,17 @@ def signatures(head: np.ndarray, kinds: np.ndarray, need: int, groups: int) -> l
     return out
 
 
+def set_signatures(n: int, head: np.ndarray, kinds: np.ndarray, percent: int) -> np.ndarray:
+    """Distinct signatures of a set of n tokens, in each of its bands."""
+    found = []
+    for band in bands(n, percent):
+        parts = signatures(head, kinds, prefix_size(n, percent), group_count(band, percent))
+        found += [scrambled(p ^ (np.array([band], dtype=np.uint64) * MULTIPLIERS[0])) for p in parts]
+    return np.unique(np.concatenate(found))
+
+
 def signature_rows(sets: DataFrame, known: np.ndarray, kinds: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """``sig, id`` of every signature of every set; the frequent tokens are broadcast."""
+    """``sig, id, n`` of every signature of every set; the frequent tokens are broadcast."""
     shared = sets.sparkSession.sparkContext.broadcast((known, kinds))
 
     def sign(batches: Batches) -> Batches:
@@ -195,20 +217,14 @@ def signature_rows(sets: DataFrame, known: np.ndarray, kinds: np.ndarray, percen
             counts, found = [], []
             for n, head in zip(sizes.tolist(), batch.column(2)):
                 mine = head.values.to_numpy(zero_copy_only=False).view(np.uint64)
-                mine_kinds = classes_of(mine, tokens, token_kinds)
-                need, parts = prefix_size(n, percent), []
-                # A partner may be smaller, down to the overlap, with fewer groups.
-                for groups in {group_count(n, percent), group_count(-(percent * n // -100), percent)}:
-                    parts += signatures(mine, mine_kinds, need, groups)
-                found.append(np.unique(np.concatenate(parts)))
+                found.append(set_signatures(n, mine, classes_of(mine, tokens, token_kinds), percent))
                 counts.append(len(found[-1]))
             flat = np.concatenate([*found, np.zeros(0, dtype=np.uint64)]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(flat), pa.array(np.repeat(ids, counts))], names=["sig", "id"]
-            )
+            columns = [pa.array(flat), pa.array(np.repeat(ids, counts)), pa.array(np.repeat(sizes, counts))]
+            yield pa.RecordBatch.from_arrays(columns, names=["sig", "id", "n"])
 
     slim = sets.select(F.col("row").alias("id"), "n_shingles", "head")
-    return slim.mapInArrow(sign, "sig long, id long")
+    return slim.mapInArrow(sign, "sig long, id long, n long")
 
 
 class Candidates:
@@ -240,54 +256,64 @@ class Candidates:
         counts = materialize(counts.withColumn("pieces", F.ceil(F.col("partners") / PIECE)), "jaccard-partners")
         split = join_spread(pairs, counts, ["a"], "partners", pairs.count())
         split = split.withColumn("piece", F.pmod(F.xxhash64("b"), F.col("pieces")))
-        left = counts.join(texts.withColumnsRenamed({"id": "a", "text": "text_a"}), "a").select(
-            "a", "text_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece")
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
+        left = counts.join(texts.withColumnRenamed("id", "a"), "a").withColumn("piece", every)
+        right = split.join(texts.withColumnRenamed("id", "b"), "b")
+        # The set that a piece's partners meet comes first in the piece.
+        rows = right.select("a", "piece", "b", "text").unionByName(
+            left.select("a", "piece", F.lit(None).cast("long").alias("b"), "text")
         )
-        right = split.select("a", "b", "piece").join(texts.withColumnsRenamed({"id": "b", "text": "text_b"}), "b")
-        both = right.join(left, ["a", "piece"]).select("a", "b", "text_a", "text_b")
+        rows = rows.repartition("a", "piece").sortWithinPartitions("a", "piece", F.asc_nulls_first("b"))
         shingle, seed, percent = self.shingle, self.seed, self.percent
 
         def compare(batches: Batches) -> Batches:
-            last, mine = None, None
+            mine = np.zeros(0, dtype=np.uint64)
             for batch in batches:
-                same, either = [], []
-                for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                    if a != last:
-                        last, mine = a, token_set(text_a.as_py(), shingle, seed)
-                    other = token_set(text_b.as_py(), shingle, seed)
-                    both = len(np.intersect1d(mine, other, assume_unique=True))
-                    same.append(both)
-                    either.append(len(mine) + len(other) - both)
-                counts = [np.array(c, dtype=np.int64) for c in (same, either)]
-                linked = 100 * counts[0] >= percent * counts[1]
+                out = []
+                for a, b, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                    tokens = token_set(text.as_py(), shingle, seed)
+                    if b is None:
+                        mine = tokens
+                        continue
+                    same = len(np.intersect1d(mine, tokens, assume_unique=True))
+                    out.append((a, b, same, len(mine) + len(tokens) - same))
+                columns = np.array(out, dtype=np.int64).reshape(-1, 4).T
+                linked = 100 * columns[2] >= percent * columns[3]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), *map(pa.array, counts), pa.array(linked)],
-                    names=["a", "b", "same", "either", "linked"],
+                    [*map(pa.array, columns), pa.array(linked)], names=["a", "b", "same", "either", "linked"]
                 )
 
-        made = both.mapInArrow(compare, "a long, b long, same long, either long, linked boolean")
+        made = rows.select("a", "b", "text").mapInArrow(
+            compare, "a long, b long, same long, either long, linked boolean"
+        )
         return materialize(made, "jaccard-compared")
 
 
-def pairs_within(items: DataFrame, group: str, item: str, different: str, piece: int = PIECE) -> DataFrame:
-    """Distinct pairs ``a < b`` of items of a group that differ in ``different``.
+def size_distance(a: str, b: str) -> Column:
+    """Least Jaccard distance that two set sizes allow."""
+    return 1 - F.least(a, b) / F.greatest(a, b)
+
+
+def pairs_within(items: DataFrame, group: str, item: str, columns: list[str], keep: Column, piece: int = PIECE) -> DataFrame:
+    """Distinct pairs ``a < b`` of items of a group that pass ``keep``, a condition on ``a_`` and ``b_`` columns.
 
     A large group is dealt into pieces by hash, and every two pieces meet in a key of
     their own, so no task holds more than two pieces.
     """
-    sizes = items.groupBy(group).agg(F.count("*").alias("items"))
-    sizes = sizes.withColumn("pieces", F.ceil(F.col("items") / piece)).filter("items > 1")
-    total = items.count()
-    dealt = join_spread(items, sizes, [group], "items", total)
+    sizes = items.groupBy(group).agg(F.count("*").alias("items")).filter("items > 1")
+    sizes = sizes.withColumn("pieces", F.ceil(F.col("items") / piece))
+    dealt = join_spread(items, sizes, [group], "items", items.count())
     dealt = dealt.withColumn("piece", F.pmod(F.xxhash64(item), F.col("pieces")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
-    sent = dealt.withColumn("other", other).select(
-        group, item, different, "piece", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q")
-    )
-    a = sent.select(group, "p", "q", F.col(item).alias("a"), F.col(different).alias("da"), F.col("piece").alias("pa"))
-    b = sent.select(group, "p", "q", F.col(item).alias("b"), F.col(different).alias("db"), F.col("piece").alias("pb"))
-    met = a.join(b, [group, "p", "q"]).filter("a < b AND da <> db AND (p = q OR pa <> pb)")
-    return met.select("a", "b").distinct()
+    meeting = [F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q")]
+    sent = dealt.withColumn("other", other).select(group, item, *columns, "piece", *meeting)
+
+    def side(name: str) -> DataFrame:
+        named = {c: f"{name}_{c}" for c in (*columns, "piece")}
+        return sent.withColumnsRenamed({item: name, **named})
+
+    met = side("a").join(side("b"), [group, "p", "q"]).filter("a < b AND (p = q OR a_piece <> b_piece)")
+    return met.filter(keep).select("a", "b").distinct()
 
 
 def _named(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -296,47 +322,71 @@ def _named(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(roots, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
-def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
-    """Links ``a, b`` that connect all sets which link; ``signed`` is a stored table of ``sig, id``."""
-    percent = candidates.percent
+def stars(signed: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
+    """The members of each signature but its first, and the pairs ``a, b`` of first and member."""
     buckets = signed.groupBy("sig").agg(F.min("id").alias("lead"), F.count("*").alias("members"))
-    buckets = materialize(buckets.filter("members > 1"), "jaccard-buckets")
+    buckets = buckets.filter("members > 1")
+    # A set leads no more signatures than it has.
+    sizes = signed.select(F.col("sig"), F.col("id").alias("lead"), F.col("n").alias("lead_n"))
+    buckets = materialize(buckets.join(sizes, ["sig", "lead"]), "jaccard-buckets")
     members = join_spread(signed, buckets, ["sig"], "members", signed.count()).filter("id <> lead")
-    members = materialize(members.select("sig", "id", "lead"), "jaccard-members")
-    star = candidates.compared(members.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
+    members = materialize(members, "jaccard-members")
+    pairs = members.filter(size_distance("lead_n", "n") <= reach + ROUNDING)
+    return members.select("sig", "id", "n"), pairs.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
+    """Links ``a, b`` that connect all sets which link; ``signed`` is a stored table of ``sig, id, n``."""
+    reach = 1 - candidates.percent / 100
+    members, pairs = stars(signed, reach)
+    distance = 1 - F.col("same") / F.col("either")
+    star = candidates.compared(pairs).withColumn("distance", distance)
     linked = star.filter("linked").select("a", "b")
 
     # Signatures that still hold sets of different components.
     named = materialize(_named(members, linked), "jaccard-named")
-    spread = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
-    spread = materialize(spread.filter("low < high"), "jaccard-open")
-    if spread.isEmpty():
+    mixed = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
+    mixed = materialize(mixed.filter("low < high").select("sig", "members"), "jaccard-open")
+    if mixed.isEmpty():
         return linked
-    rest = join_spread(named, spread.select("sig", "members"), ["sig"], "members", named.count())
-    centres = linked.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("centre"))
+    rest = join_spread(named, mixed, ["sig"], "members", named.count())
+    centres = star.filter("linked").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("centre"))
     rest = rest.join(centres, "id", "left").withColumn("centre", F.coalesce("centre", "id"))
-    rest = materialize(rest.select("sig", "id", "centre", "comp"), "jaccard-rest")
-    between = pairs_within(rest.select("sig", "centre", "comp").distinct(), "sig", "centre", "comp")
-    known = star.select("a", "b")
-    middle = candidates.compared(between.join(known, ["a", "b"], "left_anti"))
-    linked = linked.unionByName(middle.filter("linked").select("a", "b"))
-
-    # Sets around two centres can link only if these are within three times the distance.
-    distance = 1 - F.col("same") / F.col("either")
-    reach = 1 - percent / 100
-    measured = star.unionByName(middle).withColumn("distance", distance)
-    near = measured.filter(~F.col("linked") & (F.col("distance") <= 3 * reach + ROUNDING))
-    near = near.select(F.col("a").alias("ca"), F.col("b").alias("cb"), F.col("distance").alias("apart"))
-    around = measured.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("distance").alias("off"))
-    again = _named(rest.drop("comp"), linked).join(around, ["centre", "id"], "left")
-    again = materialize(again.withColumn("off", F.coalesce("off", F.lit(0.0))), "jaccard-around")
-    near = near.unionByName(near.select(F.col("cb").alias("ca"), F.col("ca").alias("cb"), "apart"))
-    one = again.select("sig", F.col("id").alias("a"), F.col("centre").alias("ca"), F.col("comp").alias("da"), F.col("off").alias("oa"))
-    two = again.select("sig", F.col("id").alias("b"), F.col("centre").alias("cb"), F.col("comp").alias("db"), F.col("off").alias("ob"))
-    outer = one.join(near, "ca").join(two, ["sig", "cb"]).filter("a < b AND da <> db")
-    outer = outer.filter(F.col("apart") - F.col("oa") - F.col("ob") <= reach + ROUNDING).select("a", "b").distinct()
-    outer = outer.join(measured.select("a", "b"), ["a", "b"], "left_anti")
-    last = candidates.compared(outer)
+    around = star.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("distance").alias("off"))
+    rest = rest.join(around, ["centre", "id"], "left").withColumn("off", F.coalesce("off", F.lit(0.0)))
+    rest = materialize(rest.select("sig", "id", "n", "centre", "off", "comp"), "jaccard-rest")
+
+    # Sets around two centres can link only if these are not further apart than their radii allow.
+    radii = rest.groupBy("centre").agg(F.max("off").alias("radius"))
+    sizes = signed.select(F.col("id").alias("centre"), F.col("n").alias("centre_n")).distinct()
+    radii = materialize(radii.join(sizes, "centre"), "jaccard-centres")
+    at = rest.select("sig", "centre", "comp").distinct().join(radii, "centre")
+    room = F.col("a_radius") + F.col("b_radius") + reach + ROUNDING
+    possible = (F.col("a_comp") != F.col("b_comp")) & (size_distance("a_centre_n", "b_centre_n") <= room)
+    between = pairs_within(at, "sig", "centre", ["comp", "centre_n", "radius"], possible)
+    middle = candidates.compared(between.join(star.select("a", "b"), ["a", "b"], "left_anti"))
+    measured = star.unionByName(middle.withColumn("distance", distance))
+    linked = measured.filter("linked").select("a", "b")
+
+    wide = measured.filter(~F.col("linked"))
+    for end in ("a", "b"):
+        wide = wide.join(radii.select(F.col("centre").alias(end), F.col("radius").alias(f"{end}_radius")), end)
+    near = wide.filter((F.col("distance") <= room) & (F.col("a_radius") + F.col("b_radius") > 0))
+    near = materialize(near.select("a", "b", F.col("distance").alias("apart")), "jaccard-near")
+    if near.isEmpty():
+        return linked
+    near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
+    near = near.withColumnsRenamed({"a": "a_centre", "b": "b_centre"})
+    again = _named(rest.drop("comp"), linked)
+    one = again.select("sig", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "centre", "off", "comp")])
+    two = again.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "centre", "off", "comp")])
+    outer = one.join(near, "a_centre").join(two, ["sig", "b_centre"]).filter("a_id < b_id AND a_comp <> b_comp")
+    outer = outer.filter(
+        (F.col("apart") - F.col("a_off") - F.col("b_off") <= reach + ROUNDING)
+        & (size_distance("a_n", "b_n") <= reach + ROUNDING)
+    )
+    outer = outer.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    last = candidates.compared(outer.join(measured.select("a", "b"), ["a", "b"], "left_anti"))
     return linked.unionByName(last.filter("linked").select("a", "b"))
 
 

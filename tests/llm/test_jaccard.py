@@ -115,9 +115,7 @@ def test_every_link_shares_a_signature():
             cut = max(int((one < np.uint64(jaccard.ZONE)).sum()), jaccard.head_size(size, 90))
             head = one[:cut]
             mine = jaccard.classes_of(head, known, kinds)
-            groups = {jaccard.group_count(size, 90), jaccard.group_count(-(90 * size // -100), 90)}
-            parts = [s for g in groups for s in jaccard.signatures(head, mine, jaccard.prefix_size(size, 90), g)]
-            found.append(set(np.concatenate(parts).tolist()))
+            found.append(set(jaccard.set_signatures(size, head, mine, 90).tolist()))
         assert found[0] & found[1], (trial, len(base), len(other))
 
 
@@ -126,7 +124,7 @@ def test_pairs_within_large_groups(spark):
     frame = spark.createDataFrame(rows, "g string, i long, d long")
     want = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[1] < b[1] and a[2] != b[2]}
     for piece in (4, 1000):
-        pairs = jaccard.pairs_within(frame, "g", "i", "d", piece).collect()
+        pairs = jaccard.pairs_within(frame, "g", "i", ["d"], F.col("a_d") != F.col("b_d"), piece).collect()
         assert len(pairs) == len(want) and {tuple(p) for p in pairs} == want
 
 
