@@ -16,9 +16,9 @@ groups of each class, by hash, whose number follows the prefix of the set's size
 this keeps combinations linear in the prefix. Signatures meet within a band only, and a
 set close above a band's lower end is listed in the band below too.
 
-Order and classes: tokens whose hash lies below ``ZONE`` come first, rare ones before
-frequent ones, then the others by hash. Only those of the zone are counted, over all
-distinct sets. ``FREQUENT`` tokens at most, the most frequent, are of class 2 or 3, which
+Order and classes: tokens of a band's zone come first, rare ones before frequent ones,
+then the others by hash. The zone is every token for bands below ``WHOLE``, else the
+hashes below ``ZONE``. Only tokens of a zone are counted, over all distinct sets. ``FREQUENT`` tokens at most, the most frequent, are of class 2 or 3, which
 bounds what is broadcast; the rest are single tokens. Classes decide how much work is
 done, never which pairs are found.
 
@@ -57,8 +57,9 @@ PERCENT = 90
 SEED = 42
 # Least similarity for which every set has enough tokens for combinations.
 LEAST_PERCENT = 80
-# Hashes of the zone, as a part of 2 ** 64 that is positive as a signed number.
+# Hashes of the zone, as a part of 2 ** 64; small sets have too few of them and use all.
 ZONE = 3 << 60
+WHOLE = 192
 # Sets that a token of class 2, and of class 3, is in at least.
 CLASS_SETS = (3, 129)
 FREQUENT = 1 << 18
@@ -109,6 +110,11 @@ def group_count(n: int, percent: int) -> int:
     return 1 << max(0, (prefix_size(n, percent) // 4).bit_length() - 1)
 
 
+def zone_tokens(tokens: np.ndarray, band: int) -> int:
+    """How many of the sorted tokens lie in the band's zone."""
+    return len(tokens) if band < WHOLE else int(np.searchsorted(tokens, np.uint64(ZONE)))
+
+
 def head_size(n: int, percent: int) -> int:
     """Tokens that hold the prefix in any order of classes: a group costs one token, or two."""
     return min(n, prefix_size(n, percent) + 3 * group_count(n, percent))
@@ -135,8 +141,10 @@ def described(docs: DataFrame, key: str, text: str, percent: int, shingle: int,
                 raw = xxhash.xxh3_128_digest(tokens.tobytes())
                 sizes.append(n)
                 digests.append(np.frombuffer(raw, dtype="<i8"))
-                cut = max(int(np.searchsorted(tokens, np.uint64(ZONE))), head_size(n, percent))
-                heads.append(tokens[:cut].view(np.int64) if can_link(n, percent) else tokens[:0].view(np.int64))
+                cut = 0
+                if can_link(n, percent):
+                    cut = max(zone_tokens(tokens, min(bands(n, percent))), head_size(n, percent))
+                heads.append(tokens[:cut].view(np.int64))
             offsets = np.cumsum([0, *map(len, heads)], dtype=np.int32)
             digest = np.array(digests, dtype=np.int64).reshape(-1, 2)
             flat = pa.array(np.concatenate([*heads, np.zeros(0, dtype=np.int64)]))
@@ -156,7 +164,7 @@ def _keyed_texts(docs: DataFrame) -> DataFrame:
 
 def frequent_tokens(sets: DataFrame, limits: tuple[int, int] = CLASS_SETS, most: int = FREQUENT) -> tuple:
     """Sorted tokens of class 2 and 3, and their classes; ``most`` of them at most."""
-    in_zone = F.filter("head", lambda h: (h >= 0) & (h < F.lit(ZONE)))
+    in_zone = F.filter("head", lambda h: (F.col("n_shingles") < WHOLE) | ((h >= 0) & (h < F.lit(ZONE))))
     counts = sets.select(F.explode(in_zone).alias("token")).groupBy("token").count()
     counts = materialize(counts.filter(F.col("count") >= limits[0]), "jaccard-frequent")
     rows = most_frequent(counts, most).orderBy("token").collect()
@@ -171,10 +179,13 @@ def classes_of(tokens: np.ndarray, known: np.ndarray, kinds: np.ndarray) -> np.n
     return np.where(known[at] == tokens, kinds[at], 1)
 
 
-def signatures(head: np.ndarray, kinds: np.ndarray, need: int, groups: int) -> list[np.ndarray]:
-    """Signatures of the shortest sufficient prefix; ``head`` is sorted by hash, ``kinds`` are its classes."""
-    rank = np.where(head < np.uint64(ZONE), kinds, 4)
-    order = np.argsort(rank, kind="stable")
+def signatures(head: np.ndarray, kinds: np.ndarray, zone: int, need: int, groups: int) -> list[np.ndarray]:
+    """Signatures of the shortest sufficient prefix.
+
+    ``head`` is sorted by hash, ``kinds`` are its classes, the first ``zone`` of it lie in the zone.
+    """
+    order = np.concatenate([np.argsort(kinds[:zone], kind="stable"), np.arange(zone, len(head))])
+    kinds = np.concatenate([kinds[:zone], np.ones(len(head) - zone, dtype=np.int64)])
     head, kinds = head[order], kinds[order]
     group = kinds * groups + (head >> np.uint64(5)).astype(np.int64) % groups
     # Place of each token within its group, in prefix order.
@@ -201,7 +212,8 @@ def set_signatures(n: int, head: np.ndarray, kinds: np.ndarray, percent: int) ->
     """Distinct signatures of a set of n tokens, in each of its bands."""
     found = []
     for band in bands(n, percent):
-        parts = signatures(head, kinds, prefix_size(n, percent), group_count(band, percent))
+        zone = zone_tokens(head, band)
+        parts = signatures(head, kinds, zone, prefix_size(n, percent), group_count(band, percent))
         found += [scrambled(p ^ (np.array([band], dtype=np.uint64) * MULTIPLIERS[0])) for p in parts]
     return np.unique(np.concatenate(found))
 
