@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from layerspark.functions import geo
 from layerspark.functions.text import tooltip_text
 from layerspark.session import broadcast_if_small, materialize
+from layerspark.sinks.rows import StoredRows
 
 
 def resolve_picks(
@@ -39,22 +40,33 @@ def resolve_picks(
 
 def lookup_rows(
     picks: DataFrame,
-    layer: DataFrame,
+    layer: DataFrame | StoredRows,
     on: Sequence[str] = ("layer_id", "row_index"),
     how: str = "inner",
 ) -> DataFrame:
-    """Source row of each pick, by layer and row index or by feature id."""
+    """Source row of each pick, by layer and row index or by feature id.
+
+    A stored layer finds the rows by its own bounds, without numbering it again.
+    """
+    if isinstance(layer, StoredRows):
+        if how != "inner" or list(on) != [layer.within, "row_index"]:
+            raise ValueError("a stored layer is looked up by layer and row index")
+        return layer.lookup(picks)
     return picks.join(layer, list(on), how)
 
 
 def hover_rows(
     picks: DataFrame,
-    layer: DataFrame,
+    layer: DataFrame | StoredRows,
     columns: Sequence[str],
     on: Sequence[str] = ("layer_id", "row_index"),
 ) -> DataFrame:
     """Hover text of each picked row."""
-    return with_tooltip(lookup_rows(picks, layer.select(*on, *columns), on), columns).drop(*columns)
+    if isinstance(layer, StoredRows):
+        found = layer.lookup(picks, columns)
+    else:
+        found = lookup_rows(picks, layer.select(*on, *columns), on)
+    return with_tooltip(found, columns).drop(*columns)
 
 
 def with_tooltip(df: DataFrame, columns: Sequence[str], name: str = "tooltip") -> DataFrame:

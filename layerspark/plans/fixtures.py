@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerspark.operators.order import row_index, row_offsets
+from layerspark.session import scratch_path
+from layerspark.sinks.rows import StoredRows, write_rows
 from layerspark.sources.generate import GRID_FILL, GRID_SPAN
 
 WEST, SOUTH, SIZE = -122.6, 37.6, 0.3
@@ -194,6 +196,18 @@ def indexed_layer(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_stored: dict[tuple[str, str], StoredRows] = {}
+
+
+def stored_layer(spark: SparkSession, sf: str) -> StoredRows:
+    """``layer_parts`` with a stored row index, as a written map has it; once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        order = ["layer_id", "batch_id", "feature_id"]
+        _stored[key] = write_rows(layer_parts(spark, sf), scratch_path(spark, "layer_rows"), order)
+    return _stored[key]
+
+
 def wire_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Line items standing in for encoding runs."""
     return table(spark, sf, "lineitem").select(

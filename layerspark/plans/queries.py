@@ -329,12 +329,12 @@ def q_resolve_picks(spark, sf):
 
 def q_lookup_rows(spark, sf):
     picked = q_resolve_picks(spark, sf).select("event_id", "layer_id", "row_index")
-    return picks.lookup_rows(picked, fx.indexed_layer(spark, sf))
+    return picks.lookup_rows(picked, fx.stored_layer(spark, sf))
 
 
 def q_hover_rows(spark, sf):
     picked = q_resolve_picks(spark, sf).select("event_id", "layer_id", "row_index")
-    return picks.hover_rows(picked, fx.indexed_layer(spark, sf), ["name", "category", "value"])
+    return picks.hover_rows(picked, fx.stored_layer(spark, sf), ["name", "category", "value"])
 
 
 def _nearest(spark, sf, **kw):
@@ -724,15 +724,16 @@ def _views(df: DataFrame) -> DataFrame:
 
 
 def q_picks_to_rows(spark, sf):
-    rows = ev.picks_to_rows(fx.interactions(spark, sf), fx.sub_layers(spark, sf), fx.indexed_layer(spark, sf))
+    layer = fx.stored_layer(spark, sf)
+    rows = ev.picks_to_rows(fx.interactions(spark, sf), layer.sub_layers(), layer)
     return rows.select("event_id", "layer_id", "row_index", "feature_id", "name")
 
 
 def q_picks_to_rows_stream(spark, sf):
     """Source rows of streamed picks, looked up per micro-batch."""
     out = scratch_path(spark, "picked")
-    offsets = materialize(fx.sub_layers(spark, sf), "sub_layers")
-    layer = materialize(fx.indexed_layer(spark, sf), "layer")
+    layer = fx.stored_layer(spark, sf)
+    offsets = layer.sub_layers()
     columns = ["event_id", "layer_id", "row_index", "feature_id", "name"]
 
     def write(rows, batch_id):

@@ -7,6 +7,7 @@ import math
 import warnings
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql.types import ArrayType, NumericType
 
 from layerspark.functions.widths import row_width
 from layerspark.operators.contract import check_budget, list_depth, row_rules
+from layerspark.operators.order import row_offsets
 from layerspark.operators.shape import layer_tooltip, select_layer
 from layerspark.operators.size import MAX_ZOOM, encoding_for, requested_encoding
 from layerspark.operators.style import trip_times_to_float
@@ -208,11 +210,20 @@ def write_map(
         # manifest the files of a refused map are not found by any reader.
         sizes = [(r["layer_id"], r["byte_length"]) for r in rows]
         check_budget(spark.createDataFrame(sizes, "layer_id string, bytes long"), max_mb)
+    sub_layers(spark, rows).write.mode("overwrite").parquet(f"{path}/sub_layers")
     manifest = manifest_frame(spark, rows)
     write_manifest(manifest, f"{path}/manifest")
     return manifest
 
 
+def sub_layers(spark: SparkSession, rows: Sequence[dict[str, Any]]) -> DataFrame:
+    """Batches of a map's layers with their row offsets, read from the encoded files without payloads."""
+    tables = [spark.read.parquet(r["data_path"]).select("layer_id", "batch_id", "num_rows") for r in rows]
+    batches = row_offsets(reduce(DataFrame.unionByName, tables))
+    name = F.concat_ws("-", "layer_id", F.col("batch_id").cast("string"))
+    return batches.select("layer_id", "batch_id", name.alias("sub_layer_id"), "num_rows", "row_offset")
+
+
 def _together(task: Callable[[int], Any], count: int) -> list[Any]:
     """Jobs of independent layers side by side, so that small layers do not wait for big ones."""
     if count == 1:

@@ -9,8 +9,10 @@ from layerspark.sinks.files import (
     write_records_json,
 )
 from layerspark.sinks.manifest import manifest_row, write_manifest
+from layerspark.sinks.rows import StoredRows, write_rows
 
 __all__ = [
+    "StoredRows",
     "decode_payload",
     "encode_layer",
     "manifest_row",
@@ -20,4 +22,5 @@ __all__ = [
     "write_layers_partitioned",
     "write_manifest",
     "write_records_json",
+    "write_rows",
 ]

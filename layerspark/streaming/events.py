@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from layerspark.operators.picks import lookup_rows, resolve_picks
+from layerspark.sinks.rows import StoredRows
 
 # Which interactions are reported unless a flag says otherwise.
 DEFAULT_FLAGS = {"clicked": True, "hovered": False, "view_state": False}
@@ -93,19 +94,24 @@ def latest_view(
 
 def rows_writer(
     sub_layers: DataFrame,
-    layer: DataFrame,
+    layer: DataFrame | StoredRows,
     write: Callable[[DataFrame, int], None],
     kind: str = "kind",
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function that turns clicks and hovers into source rows.
 
-    The picks of a micro-batch are kept while it runs, and their first and last row
-    bound the layer's scan. Spark knows their size and broadcasts them when they are
-    few, so that the layer need not be shuffled.
+    A stored layer is read where its bounds say. Of another table, the picks of a
+    micro-batch are kept while it runs, and their first and last row bound the layer's
+    scan. Spark knows their size and broadcasts them when they are few, so that the layer
+    need not be shuffled.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        picks = resolve_picks(batch.where(F.col(kind).isin("clicked", "hovered")), sub_layers).persist()
+        picks = resolve_picks(batch.where(F.col(kind).isin("clicked", "hovered")), sub_layers)
+        if isinstance(layer, StoredRows):
+            write(lookup_rows(picks, layer), batch_id)
+            return
+        picks = picks.persist()
         try:
             first, last = picks.agg(F.min("row_index"), F.max("row_index")).first()
             near = F.lit(False) if first is None else F.col("row_index").between(first, last)
@@ -119,7 +125,7 @@ def rows_writer(
 def picks_to_rows(
     events: DataFrame,
     sub_layers: DataFrame,
-    layer: DataFrame,
+    layer: DataFrame | StoredRows,
     kind: str = "kind",
     broadcast_rows: int = 100_000,
 ) -> DataFrame:
