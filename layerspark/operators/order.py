@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -131,6 +134,63 @@ def assign_batches(
     )
 
 
+# Columns that tell rows of one id apart: a hash of the row, and where copies stand.
+TIE = ("_tie", "_copy")
+
+
+def with_tie(df: DataFrame) -> DataFrame:
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return df.withColumns({TIE[0]: hashed, TIE[1]: F.monotonically_increasing_id()})
+
+
+def batch_starts(
+    df: DataFrame, id_col: str, rows_per_batch: int, bytes_per_batch: int, partitions: int | None = None
+) -> list[tuple]:
+    """First id, and what tells its copies apart, of every batch but the first.
+
+    Only ids, ties and widths are numbered, so the wide rows move once, when they are
+    sent to their batch. Cuts follow the order of ids alone, as in ``assign_batches``. One
+    small tuple per batch reaches the driver.
+    """
+    width = F.ceil(row_width(df.schema)).cast("long")
+    key = [id_col, *TIE]
+    slim = with_tie(df).select(*key, width.alias("_width"))
+    indexed = row_index(slim, key, partitions, "batch_starts", keep_part=True)
+    parts = indexed.groupBy(F.col("_part").alias("batch_id")).agg(F.sum("_width").alias("num_rows"))
+    before = row_offsets(parts.withColumn("layer_id", F.lit("batches")))
+    before = before.select(F.col("batch_id").alias("_part"), F.col("row_offset").alias("_before"))
+    # Spark's counter ran in this order, so a partition's rows are still sorted by their place.
+    earlier = Window.partitionBy("_part").orderBy("row_index").rowsBetween(Window.unboundedPreceding, -1)
+    running = F.col("_before") + F.coalesce(F.sum("_width").over(earlier), F.lit(0))
+    full = F.floor(F.col("row_index") / F.lit(rows_per_batch)) + F.floor(running / F.lit(bytes_per_batch))
+    cut = indexed.join(F.broadcast(before), "_part").withColumn("_full", full)
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in key]), "row_index")
+    starts = cut.groupBy("_full").agg(first.alias("k")).orderBy("_full").select("k.*").collect()
+    return [tuple(r) for r in starts[1:]]
+
+
+def batch_of(starts: list[tuple], kind: str):
+    """Function of id and ties to the number of the batch; nulls sort first, as in Spark."""
+    nulls = sum(1 for s in starts if s[0] is None)
+    ids = pd.Series([s[0] for s in starts[nulls:]], dtype=object if kind == "string" else None)
+    ties = [s[1:] for s in starts]
+
+    @F.pandas_udf("long")
+    def number(key: pd.Series, tie: pd.Series, copy: pd.Series) -> pd.Series:
+        missing = key.isna().to_numpy()
+        low, high = np.zeros(len(key), dtype=np.int64), np.full(len(key), nulls, dtype=np.int64)
+        known = key[~missing]
+        if len(known):
+            low[~missing] = nulls + (ids.searchsorted(known, side="left") if len(ids) else 0)
+            high[~missing] = nulls + (ids.searchsorted(known, side="right") if len(ids) else 0)
+        # Only an id that a batch starts with needs its ties compared.
+        for i in np.flatnonzero(low < high):
+            low[i] = bisect_right(ties, (tie.iat[i], copy.iat[i]), int(low[i]), int(high[i]))
+        return pd.Series(low)
+
+    return number
+
+
 def batch_table(batched: DataFrame, layer_id: str) -> DataFrame:
     """One row per batch of a layer: sub-layer id, rows and row offset."""
     counts = (

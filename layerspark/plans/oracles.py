@@ -420,6 +420,8 @@ def registry() -> dict[str, str]:
         "layer_parquet": f"WITH {COLOURS} SELECT feature_id, lon AS geom_x, lat AS geom_y, name, r, g, b FROM coloured",
         "encoded_batches": """WITH b AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 2000 AS batch_id FROM orders)
           SELECT 'layer-0' AS layer_id, batch_id, count(*) AS num_rows, 'ipc-zstd' AS encoding FROM b GROUP BY batch_id""",
+        "encoded_values": f"""WITH {COLOURS} SELECT feature_id, lon AS geom_x, lat AS geom_y, radius, name, r, g, b, encoding
+          FROM coloured, (VALUES ('ipc'), ('ipc-zstd'), ('parquet')) e(encoding)""",
         "layers_partitioned": """SELECT 'layer-0' AS layer_id, 'parquet' AS encoding, (count(*) + 3999) // 4000 AS batches, count(*) AS num_rows FROM orders
           UNION ALL SELECT 'layer-1', 'ipc', (count(*) + 499) // 500, count(*) FROM part""",
         "records_json": f"""WITH {PLACES} SELECT feature_id, '{{"feature_id":' || feature_id || ',"name":"' || name || '","category":"' || category || '"}}' AS record FROM places""",

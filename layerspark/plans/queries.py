@@ -569,6 +569,23 @@ def q_encoded_batches(spark, sf):
     return spark.read.parquet(path).select("layer_id", "batch_id", "num_rows", "encoding")
 
 
+def q_encoded_values(spark, sf):
+    """An encoded layer, decoded again: every value of every batch, in three encodings."""
+    df = shape.attach_colors(fx.colours(place_points(spark, sf)), "r", "g", "b", name="get_fill_color")
+    layer = df.select("feature_id", "geometry", "get_fill_color", "radius", "name")
+    path = scratch_path(spark, "layers")
+    kinds = ("ipc", "ipc-zstd", "parquet")
+    encoded = [enc.encode_layer(layer, kind, kind, rows_per_batch=1500 * (i + 1)) for i, kind in enumerate(kinds)]
+    files.write_layers_partitioned(encoded, path)
+    stored = spark.read.parquet(path)
+    decoded = [
+        enc.decode_layer(stored.where(F.col("layer_id") == kind), layer.schema).withColumn("encoding", F.lit(kind))
+        for kind in kinds
+    ]
+    values = decoded[0].unionByName(decoded[1]).unionByName(decoded[2])
+    return rgb(xy(values, "geometry"), "get_fill_color")
+
+
 def q_layers_partitioned(spark, sf):
     """Two layers with different encodings in one table: rows per layer."""
     first = place_points(spark, sf).select("feature_id", "geometry", "name")

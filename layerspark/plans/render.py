@@ -176,6 +176,14 @@ def write_map(
         prepared.append((layer, spec, facts["encoding"]))
     verdicts, old = _compare(spark, rows, previous)
 
+    fresh: list[str] = []
+
+    def begin(target: str) -> str:
+        """Notes a folder that this map makes."""
+        if not _folder(spark, target).exists():
+            fresh.append(target)
+        return target
+
     def store(i: int) -> None:
         row, (layer, spec, encoding) = rows[i], prepared[i]
         verdict, changed = verdicts.get(spec.layer_id, ("new", []))
@@ -189,7 +197,7 @@ def write_map(
         if verdict == "accessors_only":
             # A column that only the old version had needs no data: the manifest drops it.
             columns = sorted((set(changed) | set(before["patch_columns"] or [])) & set(layer.columns))
-            target = f"{path}/patches/{spec.layer_id}/{tag}"
+            target = begin(f"{path}/patches/{spec.layer_id}/{tag}")
             slim = layer.select(spec.id_col, *[c for c in columns if c != spec.id_col])
             length = _encode(slim, spec, row, encoding, target, rows_per_batch)
             row.update(
@@ -200,22 +208,41 @@ def write_map(
                 body_encoding=before["body_encoding"],
             )
         else:
-            target = f"{path}/layers/{spec.layer_id}/{tag}"
+            target = begin(f"{path}/layers/{spec.layer_id}/{tag}")
             row["data_path"] = target
             row["byte_length"] = _encode(layer, spec, row, encoding, target, rows_per_batch)
 
-    _together(store, len(rows))
-    if max_mb is not None:
-        # What is sent is what counts, so the check waits for the encoded bytes; without a
-        # manifest the files of a refused map are not found by any reader.
-        sizes = [(r["layer_id"], r["byte_length"]) for r in rows]
-        check_budget(spark.createDataFrame(sizes, "layer_id string, bytes long"), max_mb)
+    try:
+        _together(store, len(rows))
+        if max_mb is not None:
+            # What is sent is what counts, so the check waits for the encoded bytes.
+            sizes = [(r["layer_id"], r["byte_length"]) for r in rows]
+            check_budget(spark.createDataFrame(sizes, "layer_id string, bytes long"), max_mb)
+    except Exception:
+        # A refused or failed map leaves no file; those of earlier versions stay.
+        for target in fresh:
+            _folder(spark, target).delete()
+        raise
     sub_layers(spark, rows).write.mode("overwrite").parquet(f"{path}/sub_layers")
     manifest = manifest_frame(spark, rows)
     write_manifest(manifest, f"{path}/manifest")
     return manifest
 
 
+class _folder:
+    """A folder in whatever file system its path names, as Spark's writer sees it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self.system = self.path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.system.exists(self.path)
+
+    def delete(self) -> None:
+        self.system.delete(self.path, True)
+
+
 def sub_layers(spark: SparkSession, rows: Sequence[dict[str, Any]]) -> DataFrame:
     """Batches of a map's layers with their row offsets, read from the encoded files without payloads."""
     tables = [spark.read.parquet(r["data_path"]).select("layer_id", "batch_id", "num_rows") for r in rows]

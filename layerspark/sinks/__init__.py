@@ -1,6 +1,6 @@
 """Writing layer tables, encoded batches and manifests."""
 
-from layerspark.sinks.encode import decode_payload, encode_layer
+from layerspark.sinks.encode import decode_layer, decode_payload, encode_layer
 from layerspark.sinks.files import (
     records_json,
     write_layer_arrow,
@@ -13,6 +13,7 @@ from layerspark.sinks.rows import StoredRows, write_rows
 
 __all__ = [
     "StoredRows",
+    "decode_layer",
     "decode_payload",
     "encode_layer",
     "manifest_row",

@@ -9,16 +9,18 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, StructType
 
 from layerspark.functions.widths import fixed_list, row_width
-from layerspark.operators.order import assign_batches
+from layerspark.operators.order import TIE, batch_of, batch_starts, with_tie
 from layerspark.spec import ENCODINGS, GEOMETRY_KEY
 
 # A batch ends at whichever comes first. The bytes, of the uncompressed columns, bound
 # the memory of a task and keep a payload far below what one binary value may hold.
 ROWS_PER_BATCH = 500_000
 BYTES_PER_BATCH = 128 << 20
+DECODED_ROWS = 10_000
 PAYLOAD_SCHEMA = (
     "layer_id string, batch_id long, num_rows long, encoding string, byte_length long, payload binary"
 )
@@ -40,7 +42,8 @@ def encode_layer(
     Batches follow the id order and the rows' widths alone, so equal content gives
     equal bytes however the input was partitioned. Each batch is encoded in the task
     that holds it. A layer known or counted to fit one batch, in rows and in bytes, is
-    only sorted; a bigger one is numbered first.
+    only sorted; of a bigger one the batches' first ids are found on narrow columns, and
+    the rows themselves are shuffled once.
     """
     if encoding not in ENCODINGS:
         raise ValueError(f"unknown encoding {encoding!r}")
@@ -50,8 +53,10 @@ def encode_layer(
     if num_rows <= rows_per_batch and num_bytes <= bytes_per_batch:
         ordered = df.withColumn("batch_id", F.lit(0).cast("long")).repartition(1).sortWithinPartitions(id_col)
     else:
-        batched = assign_batches(df, rows_per_batch, [id_col], bytes_per_batch=bytes_per_batch).drop("row_index")
-        ordered = batched.repartition("batch_id").sortWithinPartitions("batch_id", id_col)
+        starts = batch_starts(df, id_col, rows_per_batch, bytes_per_batch)
+        number = batch_of(starts, df.schema[id_col].dataType.simpleString())
+        batched = with_tie(df).withColumn("batch_id", number(id_col, *TIE)).drop(TIE[1])
+        ordered = batched.repartition("batch_id").sortWithinPartitions("batch_id", id_col, TIE[0]).drop(TIE[0])
     names = [c for c in df.columns if keep_id or c != id_col]
     plan = _wire_plan(df.schema, names)
 
@@ -82,6 +87,42 @@ def decode_payload(payload: bytes, encoding: str) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
+def decode_layer(encoded: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of encoded batches, each decoded in its task; ``schema`` names the columns wanted.
+
+    Arrays come back as arrays and colour bytes as the numbers they were.
+    """
+    wanted = to_arrow_schema(schema)
+
+    def decode(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            for encoding, payload in zip(part.column(0).to_pylist(), part.column(1)):
+                table = decode_payload(payload.as_buffer().to_pybytes(), encoding)
+                columns = [_from_wire(_one_chunk(table.column(f.name)), f.type) for f in wanted]
+                whole = pa.RecordBatch.from_arrays(columns, schema=wanted)
+                # The rows of a batch go on in pieces, as Spark's own batches are.
+                for start in range(0, whole.num_rows, DECODED_ROWS):
+                    yield whole.slice(start, DECODED_ROWS)
+
+    return encoded.select("encoding", "payload").mapInArrow(decode, schema)
+
+
+def _from_wire(array: pa.Array, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_list(kind):
+        if pa.types.is_fixed_size_list(array.type):
+            size = array.type.list_size
+            present = np.asarray(array.is_valid())
+            offsets = np.concatenate([[0], np.cumsum(present * size)]).astype(np.int32)
+            mask = pa.array(~present) if array.null_count else None
+            # "flatten" leaves out what null rows hide.
+            values = _from_wire(array.flatten(), kind.value_type)
+            return pa.ListArray.from_arrays(pa.array(offsets), values, type=kind, mask=mask)
+        values = _from_wire(array.values, kind.value_type)
+        mask = array.is_null() if array.null_count else None
+        return pa.ListArray.from_arrays(pa.array(array.offsets), values, type=kind, mask=mask)
+    return array.cast(kind)
+
+
 def table_bytes(table: pa.Table, encoding: str) -> bytes:
     """Bytes of one batch. The whole batch is one record batch, or one row group."""
     table = table.combine_chunks()

@@ -4,10 +4,13 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from layerspark.operators import shape, size
-from layerspark.sinks import decode_payload, encode_layer, write_layer_parquet, write_layers_partitioned
+from layerspark.operators.shape import points_from_lonlat
+from layerspark.plans.render import write_map
+from layerspark.sinks import decode_layer, decode_payload, encode_layer, write_layer_parquet, write_layers_partitioned
 from layerspark.sinks.encode import leaf_policy
 from layerspark.sources import gen_points, gen_square_grid
-from layerspark.spec import geometry_metadata
+from layerspark.spec import LayerSpec, geometry_metadata
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 
@@ -189,3 +192,57 @@ def test_rows_alone_cut_as_before(spark):
     df = spark.range(2_500).select(F.col("id").alias("feature_id"))
     rows = encode_layer(df, "l", "ipc", 1_000).orderBy("batch_id").collect()
     assert [(r["batch_id"], r["num_rows"]) for r in rows] == [(0, 1_000), (1, 1_000), (2, 500)]
+
+
+def ids_of(batch):
+    return decode_payload(bytes(batch.payload), batch.encoding).column("feature_id").to_pylist()
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_batches_hold_their_rows_in_order(spark, hot):
+    """Every batch has the rows asked for, also where one id holds most rows or is null."""
+    ids = [None] * 30 + ([7] * 400 if hot else []) + list(range(500))
+    layer = spark.createDataFrame([(k, f"n{i % 5}") for i, k in enumerate(ids)], "feature_id long, name string")
+    batches = encode_layer(layer.repartition(9), "l", "ipc", rows_per_batch=64).orderBy("batch_id").collect()
+    assert [b.batch_id for b in batches] == list(range(-(-len(ids) // 64)))
+    assert {b.num_rows for b in batches[:-1]} == {64}
+    found = [k for b in batches for k in ids_of(b)]
+    assert found == sorted(ids, key=lambda k: (k is not None, k or 0))
+
+
+def test_text_ids_and_byte_cut(spark):
+    layer = spark.createDataFrame([(f"k{i:04d}", "x" * 90) for i in range(300)], "feature_id string, name string")
+    batches = encode_layer(layer, "l", "ipc", bytes_per_batch=5000, rows_per_batch=1000).orderBy("batch_id").collect()
+    assert [k for b in batches for k in ids_of(b)] == [f"k{i:04d}" for i in range(300)]
+    assert len(batches) > 4 and max(b.num_rows for b in batches) <= 5000 // 90 + 1
+
+
+def test_wide_rows_move_once(spark, sf):
+    from layerspark.plans import fixtures as fx
+
+    plan = plan_of(encode_layer(fx.places(spark, sf), "l", "ipc", rows_per_batch=100))
+    assert plan.count(") Exchange") == 1 and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("encoding", ["ipc", "ipc-zstd", "parquet"])
+def test_decoded_rows_equal_the_layer(spark, encoding):
+    schema = "feature_id long, name string, parts array<array<double>>, at timestamp, flag boolean"
+    rows = [(1, "a", [[1.0, 2.0], [3.0, 4.0]], None, True), (2, None, None, None, None), (3, "", [], None, False)]
+    layer = spark.createDataFrame(rows, schema)
+    decoded = decode_layer(encode_layer(layer, "l", encoding), layer.schema)
+    assert sorted(map(tuple, decoded.collect())) == rows
+
+
+def test_refused_map_leaves_no_file(spark, tmp_path):
+    layer = spark.range(2000).selectExpr("id AS feature_id", "double(id) / 100 AS lon", "double(id) / 200 AS lat")
+    spec = LayerSpec("l", "scatterplot")
+    layers = [(points_from_lonlat(layer), spec)]
+    with pytest.raises(ValueError):
+        write_map(spark, layers, str(tmp_path), max_mb=0.001)
+    assert not list(tmp_path.rglob("*.parquet"))
+    write_map(spark, layers, str(tmp_path))
+    kept = sorted(tmp_path.rglob("*.parquet"))
+    # The same content again is refused, but its files belong to the earlier version.
+    with pytest.raises(ValueError):
+        write_map(spark, layers, str(tmp_path), max_mb=0.001)
+    assert kept and len(sorted(tmp_path.rglob("layers/**/*.parquet"))) == len([k for k in kept if "/layers/" in str(k)])
