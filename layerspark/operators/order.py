@@ -57,8 +57,17 @@ def row_index(
         raise ValueError("the columns of 'within' must lead the order")
     by = [F.col(c) for c in order]
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
-    numbered = ranged.sortWithinPartitions(*by).withColumn("_spot", F.monotonically_increasing_id())
-    table = materialize(numbered, name)
+    indexed = row_positions(ranged.sortWithinPartitions(*by), name, keep_part)
+    if not within:
+        return indexed
+    first = indexed.groupBy(*within).agg(F.min("row_index").alias("_first"))
+    grouped = indexed.join(broadcast_if_small(first), list(within))
+    return grouped.withColumn("row_index", F.col("row_index") - F.col("_first")).drop("_first")
+
+
+def row_positions(df: DataFrame, name: str = "row_positions", keep_part: bool = False) -> DataFrame:
+    """Position of each row, from 0, in the order in which the rows of ``df`` lie now."""
+    table = materialize(df.withColumn("_spot", F.monotonically_increasing_id()), name)
     # The counter holds the partition number above bit 33 and the position below.
     partition = F.shiftrightunsigned(F.col("_spot"), 33)
     counts = (
@@ -74,13 +83,7 @@ def row_index(
         .withColumn("row_index", F.col("row_offset") + place)
         .drop("_spot", "row_offset")
     )
-    if not keep_part:
-        indexed = indexed.drop("_part")
-    if not within:
-        return indexed
-    first = indexed.groupBy(*within).agg(F.min("row_index").alias("_first"))
-    grouped = indexed.join(broadcast_if_small(first), list(within))
-    return grouped.withColumn("row_index", F.col("row_index") - F.col("_first")).drop("_first")
+    return indexed if keep_part else indexed.drop("_part")
 
 
 def assign_batches(

@@ -203,11 +203,15 @@ class _Grid:
 
 
 def _levels_needed(places: DataFrame, max_levels: int, cell_rows: int) -> int:
-    """Fewest splits after which no cell holds more than ``cell_rows`` places."""
-    for level in range(max_levels):
-        down = 2 * (max_levels - level)
-        cell = [F.shiftright("_x", down), F.shiftright("_y", down)]
-        full = places.groupBy(*cell).count().where(F.col("count") > cell_rows)
-        if full.isEmpty():
-            return level
-    return max_levels
+    """Fewest splits after which no cell holds more than ``cell_rows`` places.
+
+    Places are counted once, in the smallest cells, and the counts are added up for all
+    wider ones in the same job.
+    """
+    smallest = places.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("n"))
+    levels = smallest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(max_levels - 1))))
+    down = (F.lit(max_levels) - F.col("level")) * 2
+    cell = [F.call_function("shiftright", c, down) for c in ("_x", "_y")]
+    crowded = levels.groupBy("level", *cell).agg(F.sum("n").alias("n")).where(F.col("n") > cell_rows)
+    deepest = crowded.agg(F.max("level")).first()[0]
+    return 0 if deepest is None else deepest + 1

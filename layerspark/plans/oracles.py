@@ -414,7 +414,7 @@ def registry() -> dict[str, str]:
         "assign_batches": """WITH b AS (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS batch_id FROM orders)
           SELECT 'layer-0' AS layer_id, batch_id, 'layer-0-' || batch_id AS sub_layer_id, count(*) AS num_rows,
           batch_id * 1000 AS row_offset FROM b GROUP BY batch_id""",
-        "sort_for_encoding": f"WITH {PLACES} SELECT feature_id, {geohash_code('lon', 'lat', 6)} AS code FROM places",
+        "sort_for_encoding": f"WITH {PLACES} SELECT feature_id, code, row_number() OVER (ORDER BY code, feature_id) - 1 AS position FROM (SELECT feature_id, {geohash_code('lon', 'lat', 6)} AS code FROM places)",
         "stack_layers": f"""WITH {PLACES}, {H3} SELECT feature_id, name, value, CAST(NULL AS VARCHAR) AS cell, 'layer-0' AS layer_id, 0 AS position FROM places
           UNION ALL SELECT feature_id, NULL, value, lower(to_hex(cell)), 'layer-1', 1 FROM h3""",
         "layer_parquet": f"WITH {COLOURS} SELECT feature_id, lon AS geom_x, lat AS geom_y, name, r, g, b FROM coloured",
@@ -425,6 +425,11 @@ def registry() -> dict[str, str]:
         "layers_partitioned": """SELECT 'layer-0' AS layer_id, 'parquet' AS encoding, (count(*) + 3999) // 4000 AS batches, count(*) AS num_rows FROM orders
           UNION ALL SELECT 'layer-1', 'ipc', (count(*) + 499) // 500, count(*) FROM part""",
         "records_json": f"""WITH {PLACES} SELECT feature_id, '{{"feature_id":' || feature_id || ',"name":"' || name || '","category":"' || category || '"}}' AS record FROM places""",
+        "manifest_files": """WITH l AS (SELECT 'places' AS layer_id, count(*) AS n, 6 AS fingerprints FROM orders
+            UNION ALL SELECT 'cells', count(*), 2 FROM part)
+          SELECT layer_id, n AS num_rows, (n + 1999) // 2000 AS batches, CAST(1 AS BIGINT) AS encodings, true AS encoding_agrees, true AS length_agrees,
+          true AS offset_agrees, fingerprints, true AS has_geometry_fp, (n + 1999) // 2000 * 2000 - 2000 AS last_offset,
+          CAST(n AS BIGINT) AS sub_layer_rows, CAST(NULL AS VARCHAR) AS time_unit FROM l""",
         "manifest": f"""SELECT 'map' AS map_id, 1 AS version, 0 AS position, 'places' AS layer_id, 'scatterplot' AS layer_type,
           '{{"getFillColor": {{"@@arrowColumn": "get_fill_color"}}, "getRadius": {{"@@arrowColumn": "get_radius"}}, "radiusUnits": "meters"}}' AS props,
           '[{{"props": {{"filterSize": 1}}, "type": "data-filter"}}]' AS extensions, '["category", "name"]' AS tooltip, count(*) AS num_rows,

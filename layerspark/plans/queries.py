@@ -539,7 +539,8 @@ def q_assign_batches(spark, sf):
 def q_sort_for_encoding(spark, sf):
     """Rows in geohash order: neighbours in the file are neighbours on the map."""
     coded = fx.places(spark, sf).withColumn("code", geo.geohash_code("lon", "lat", 6))
-    return order.sort_for_encoding(coded, "code", "feature_id").select("feature_id", "code")
+    lying = order.sort_for_encoding(coded, "code", "feature_id").select("feature_id", "code")
+    return order.row_positions(lying).withColumnRenamed("row_index", "position")
 
 
 def q_stack_layers(spark, sf):
@@ -642,6 +643,38 @@ def q_manifest(spark, sf):
     )
 
 
+def q_manifest_files(spark, sf):
+    """What the manifest says of each layer's files, next to the files themselves."""
+    path = scratch_path(spark, "map")
+    manifest = write_map(spark, _map_layers(spark, sf), path, rows_per_batch=2000)
+    files_of = [spark.read.parquet(r["data_path"]) for r in manifest.select("data_path").collect()]
+    stored = files_of[0].unionByName(files_of[1]).groupBy("layer_id").agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum(F.octet_length("payload")).alias("payload_bytes"),
+        F.countDistinct("encoding").alias("encodings"),
+        F.min("encoding").alias("encoding"),
+    )
+    offsets = spark.read.parquet(f"{path}/sub_layers").groupBy("layer_id").agg(
+        F.max("row_offset").alias("last_offset"), F.sum("num_rows").alias("sub_layer_rows")
+    )
+    first = F.col("position") == 0
+    earlier = manifest.filter(first).select(F.max("byte_length").alias("b")).scalar()
+    return manifest.join(stored, "layer_id").join(offsets, "layer_id").select(
+        "layer_id",
+        "num_rows",
+        "batches",
+        "encodings",
+        (F.coalesce("body_encoding", F.lit("ipc")) == F.col("encoding")).alias("encoding_agrees"),
+        (F.col("byte_length") == F.col("payload_bytes")).alias("length_agrees"),
+        (F.col("byte_offset") == F.when(first, 0).otherwise(earlier)).alias("offset_agrees"),
+        F.size("column_fps").alias("fingerprints"),
+        F.col("geometry_fp").isNotNull().alias("has_geometry_fp"),
+        "last_offset",
+        "sub_layer_rows",
+        "time_unit",
+    )
+
+
 def q_refresh_map(spark, sf):
     """The same map again, recoloured by other values: what was written anew."""
     path = scratch_path(spark, "map")

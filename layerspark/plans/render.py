@@ -19,7 +19,7 @@ from layerspark.operators.contract import check_budget, list_depth, row_rules
 from layerspark.operators.order import row_offsets
 from layerspark.operators.shape import layer_tooltip, select_layer
 from layerspark.operators.size import MAX_ZOOM, encoding_for, requested_encoding
-from layerspark.operators.style import trip_times_to_float
+from layerspark.operators.style import finest_unit, trip_times_to_float
 from layerspark.operators.version import (
     diff_layers,
     fingerprint_map,
@@ -38,6 +38,8 @@ from layerspark.spec import (
 )
 
 LAYERS_AT_ONCE = 8
+# Units of trip times, finest first.
+UNITS = ("us", "ms", "s")
 EDGES = ("west", "south", "east", "north")
 KEEP_DATA = ("unchanged", "tooltip_only", "props_only")
 
@@ -45,11 +47,28 @@ KEEP_DATA = ("unchanged", "tooltip_only", "props_only")
 def prepare_layer(df: DataFrame, spec: LayerSpec, time_unit: str | None = None) -> DataFrame:
     """Layer table of a spec: checked, pruned, trip times as floats."""
     layer = select_layer(df, spec)
-    if spec.layer_type == "trip" and "get_timestamps" in layer.columns:
-        element = layer.schema["get_timestamps"].dataType
-        if isinstance(element, ArrayType) and not isinstance(element.elementType, NumericType):
-            layer = trip_times_to_float(layer, "get_timestamps", time_unit)
-    return layer
+    return trip_times_to_float(layer, "get_timestamps", time_unit) if has_clock(layer, spec) else layer
+
+
+def has_clock(layer: DataFrame, spec: LayerSpec) -> bool:
+    """Whether the layer's trip times are points in time, to be counted in a unit."""
+    if spec.layer_type != "trip" or "get_timestamps" not in layer.columns:
+        return False
+    times = layer.schema["get_timestamps"].dataType
+    return isinstance(times, ArrayType) and not isinstance(times.elementType, NumericType)
+
+
+def trip_unit(df: DataFrame, spec: LayerSpec, before: str | None = None) -> str | None:
+    """Unit of a layer's trip times, None without a clock.
+
+    The unit of the version before stays as long as the times fit it, so that a refresh
+    does not change every time; else the finest that fits.
+    """
+    layer = select_layer(df, spec)
+    if not has_clock(layer, spec):
+        return None
+    finest = finest_unit(layer, "get_timestamps")
+    return finest if before is None else max(finest, before, key=UNITS.index)
 
 
 def profile_layer(layer: DataFrame, spec: LayerSpec, algo: str = "xxhash64") -> DataFrame:
@@ -158,7 +177,17 @@ def write_map(
     ids = [spec.layer_id for _, spec in layers]
     if len(set(ids)) != len(ids):
         raise ValueError("layer ids of a map must differ")
-    tables = [prepare_layer(df, spec, time_unit) for df, spec in layers]
+    known_units = {}
+    if previous is not None and "time_unit" in previous.columns:
+        known_units = {r["layer_id"]: r["time_unit"] for r in previous.select("layer_id", "time_unit").collect()}
+
+    def unit_of(i: int) -> str | None:
+        df, spec = layers[i]
+        found = trip_unit(df, spec, known_units.get(spec.layer_id)) if time_unit is None else time_unit
+        return found if spec.layer_type == "trip" else None
+
+    units = _together(unit_of, len(layers))
+    tables = [prepare_layer(df, spec, unit) for (df, spec), unit in zip(layers, units, strict=True)]
     profiles = _together(lambda i: profile_layer(tables[i], layers[i][1]).first().asDict(), len(layers))
     if map_spec is None or map_spec.view_state is None:
         map_spec = MapSpec(auto_view(profiles), map_spec.options if map_spec else {})
@@ -168,6 +197,7 @@ def write_map(
             _refuse_broken(facts["broken"], spec)
         hover = layer_tooltip(df, spec)
         known = {k: facts[k] for k in ("num_rows", "bytes", "column_fps", "geometry_fp", "props_fp")}
+        known["time_unit"] = units[position]
         rows.append(
             manifest_row(
                 spec, position, facts["encoding"], hover, {**known, "byte_length": 0}, map_spec

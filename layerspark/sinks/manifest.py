@@ -15,7 +15,7 @@ MANIFEST_SCHEMA = """
     extensions string, tooltip string, body_encoding string, num_rows long, bytes long,
     byte_length long, data_path string, patch_path string, patch_columns array<string>,
     geometry_fp string, props_fp string, column_fps map<string,string>,
-    view_state string, map_options string
+    view_state string, map_options string, time_unit string
 """
 
 
@@ -47,6 +47,7 @@ def manifest_row(
         "patch_path": None,
         "patch_columns": None,
         "data_path": None,
+        "time_unit": None,
         **facts,
     }
 

@@ -131,3 +131,31 @@ def test_prop_names():
     assert prop_name("line_width_2d") == "lineWidth2d"
     assert prop_name("_internal_name") == "InternalName"
     assert prop_name("plain") == "plain"
+
+
+def trips(spark, seconds):
+    return spark.sql(
+        f"select 1L as feature_id, array(array(0D, 0D), array(1D, 1D)) as geometry, "
+        f"array(timestamp'2024-01-01 00:00:00', timestamp'2024-01-01 00:00:00' + interval {seconds} seconds) as at"
+    )
+
+
+def test_a_refresh_keeps_the_unit_of_trip_times(spark, tmp_path):
+    spec = LayerSpec("t", "trip", accessors={"get_timestamps": F.col("at")})
+
+    def write(seconds, previous=None, **kw):
+        path = shape_paths(trips(spark, seconds))
+        return write_map(spark, [(path, spec)], str(tmp_path), VIEW, previous=previous, **kw)
+
+    first = write(60)
+    assert first.first().time_unit == "ms"
+    # A shorter span would allow microseconds, a longer one needs seconds.
+    second = write(10, first)
+    assert second.first().time_unit == "ms"
+    assert write(10).first().time_unit == "us"
+    assert write(10 * 86400, second).first().time_unit == "s"
+    assert write(10, time_unit="s").first().time_unit == "s"
+
+
+def shape_paths(df):
+    return df.withColumn("geometry", F.col("geometry").alias("geometry", metadata=geometry_metadata("linestring")))
