@@ -85,7 +85,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._scratch_path = path
+    return stored
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete scratch tables of ``materialize`` that nothing reads any more.
+
+    Only for tables whose readers have all been written themselves: a lost executor then
+    never asks for them again.
+    """
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

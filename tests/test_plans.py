@@ -88,3 +88,14 @@ def test_no_query_needs_a_cross_join(spark, sf):
         plan = plan_of(query(spark, sf))
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_scratch_table_can_be_discarded(spark):
+    from pathlib import Path
+
+    from layerspark.session import discard, materialize
+
+    table = materialize(spark.range(3).toDF("id"), "discarded")
+    assert table.count() == 3
+    discard(table)
+    assert not Path(table._scratch_path).exists()
