@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from layerspark.llm.common import join_spread, most_frequent, text_or_empty
 from layerspark.llm.graph import components
-from layerspark.session import BROADCAST_ROWS, materialize
+from layerspark.session import BROADCAST_ROWS, discard, materialize
 
 SHINGLE = 3
 PERCENT = 90
@@ -256,7 +256,9 @@ class Candidates:
             joined = self.docs.join(F.broadcast(wanted), keys)
         else:
             joined = join_spread(self.docs, wanted, keys, "copies", self.rows.count())
-        return materialize(joined.select("id", "text").dropDuplicates(["id"]), "jaccard-texts")
+        texts = materialize(joined.select("id", "text").dropDuplicates(["id"]), "jaccard-texts")
+        discard(wanted)
+        return texts
 
     def compared(self, pairs: DataFrame) -> DataFrame:
         """``a, b, same, either, linked`` of each pair: sizes of intersection and union; written once."""
@@ -298,7 +300,9 @@ class Candidates:
         made = rows.select("a", "b", "text").mapInArrow(
             compare, "a long, b long, same long, either long, linked boolean"
         )
-        return materialize(made, "jaccard-compared")
+        found = materialize(made, "jaccard-compared")
+        discard(pairs, texts, counts)
+        return found
 
 
 def size_distance(a: str, b: str) -> Column:
@@ -343,8 +347,9 @@ def stars(signed: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
     buckets = materialize(buckets.join(sizes, ["sig", "lead"]), "jaccard-buckets")
     members = join_spread(signed, buckets, ["sig"], "members", signed.count()).filter("id <> lead")
     members = materialize(members, "jaccard-members")
+    discard(buckets)
     pairs = members.filter(size_distance("lead_n", "n") <= reach + ROUNDING)
-    return members.select("sig", "id", "n"), pairs.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    return members, pairs.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
@@ -356,7 +361,8 @@ def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
     linked = star.filter("linked").select("a", "b")
 
     # Signatures that still hold sets of different components.
-    named = materialize(_named(members, linked), "jaccard-named")
+    named = materialize(_named(members.select("sig", "id", "n"), linked), "jaccard-named")
+    discard(members)
     mixed = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
     mixed = materialize(mixed.filter("low < high").select("sig", "members"), "jaccard-open")
     if mixed.isEmpty():
@@ -367,6 +373,7 @@ def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
     around = star.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("distance").alias("off"))
     rest = rest.join(around, ["centre", "id"], "left").withColumn("off", F.coalesce("off", F.lit(0.0)))
     rest = materialize(rest.select("sig", "id", "n", "centre", "off", "comp"), "jaccard-rest")
+    discard(named)
 
     # Sets around two centres can link only if these are not further apart than their radii allow.
     radii = rest.groupBy("centre").agg(F.max("off").alias("radius"))
@@ -422,14 +429,18 @@ def join_documents(
     copies = materialize(copies, "jaccard-classes")
     sets = rows.filter(can_link(F.col("n_shingles"), percent)).select("row", "n_shingles", "head")
     sets = materialize(sets.join(copies.select("row"), "row", "left_semi"), "jaccard-sets")
+    slim = materialize(rows.drop("head"), "jaccard-slim")
+    discard(rows)
     known, kinds = frequent_tokens(sets, limits)
     signed = materialize(signature_rows(sets, known, kinds, percent), "jaccard-signatures")
-    found = materialize(links(signed, Candidates(docs, text, rows, percent, shingle, seed)), "jaccard-links")
+    discard(sets)
+    found = materialize(links(signed, Candidates(docs, text, slim, percent, shingle, seed)), "jaccard-links")
+    discard(signed)
     named = _named(copies.withColumnRenamed("row", "id"), found)
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = named.join(least, "comp").select(*digest, "component_id", "copies")
-    slim = rows.select("doc_id", "n_shingles", *digest)
-    linked = join_spread(slim.filter("n_shingles > 0"), named, digest, "copies", rows.count())
+    slim = slim.select("doc_id", "n_shingles", *digest)
+    linked = join_spread(slim.filter("n_shingles > 0"), named, digest, "copies", slim.count())
     alone = slim.filter("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     columns = ["doc_id", "n_shingles", "component_id"]
     return linked.select(*columns).unionByName(alone.select(*columns))
