@@ -17,6 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from layerspark.operators import shape  # noqa: E402
+from layerspark.functions.widths import row_width  # noqa: E402
 from layerspark.plans import queries  # noqa: E402
 from layerspark.session import build_session, materialize  # noqa: E402
 from layerspark.sinks import decode_payload, encode_layer  # noqa: E402
@@ -30,7 +31,7 @@ HEADLINE = """
     attach_stats resolve_picks lookup_rows hover_rows nearest_feature diff_layers diff_rows
     viewport layer_bytes encoding_tier format_sizes column_fingerprints geohash_rollup h3_rollup
     bench_summary span_totals row_index assign_batches stack_layers layer_parquet encoded_batches
-    manifest throttle latest_view picks_to_rows
+    manifest throttle latest_view picks_to_rows encoded_values
 """.split()
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 ENCODINGS = (("none", "ipc"), ("zstd", "ipc-zstd"), ("parquet", "parquet"))
@@ -54,11 +55,14 @@ def encode_runs(spark) -> dict[str, dict]:
         # Read back without column roles, so they are set again.
         point = F.col("geometry").alias("geometry", metadata=geometry_metadata("point"))
         layer = layer.withColumn("geometry", point)
+        width = layer.agg(F.ceil(F.sum(row_width(layer.schema)))).first()[0]
         for mode, encoding in ENCODINGS:
             times, size = [], 0
             for _ in range(3):
                 start = time.perf_counter()
-                encoded = encode_layer(layer, "layer-0", encoding, 1_000_000, keep_id=False, num_rows=n)
+                encoded = encode_layer(
+                    layer, "layer-0", encoding, 1_000_000, keep_id=False, num_rows=n, num_bytes=width
+                )
                 size = encoded.agg(F.sum("byte_length")).first()[0]
                 times.append(time.perf_counter() - start)
             # The encoder alone on the stored bytes' table, as an in-process encoder would run.
