@@ -27,7 +27,7 @@ from layerspark.operators.version import (
     joined_fingerprint,
     props_fingerprint,
 )
-from layerspark.sinks.encode import ROWS_PER_BATCH, encode_layer
+from layerspark.sinks.encode import PAYLOAD_SCHEMA, ROWS_PER_BATCH, encode_layer
 from layerspark.sinks.manifest import manifest_frame, manifest_row, write_manifest
 from layerspark.spec import (
     GEOMETRY_ACCESSORS,
@@ -275,7 +275,8 @@ class _folder:
 
 def sub_layers(spark: SparkSession, rows: Sequence[dict[str, Any]]) -> DataFrame:
     """Batches of a map's layers with their row offsets, read from the encoded files without payloads."""
-    tables = [spark.read.parquet(r["data_path"]).select("layer_id", "batch_id", "num_rows") for r in rows]
+    stored = spark.read.schema(PAYLOAD_SCHEMA)
+    tables = [stored.parquet(r["data_path"]).select("layer_id", "batch_id", "num_rows") for r in rows]
     batches = row_offsets(reduce(DataFrame.unionByName, tables))
     name = F.concat_ws("-", "layer_id", F.col("batch_id").cast("string"))
     return batches.select("layer_id", "batch_id", name.alias("sub_layer_id"), "num_rows", "row_offset")
@@ -296,7 +297,7 @@ def _encode(
         layer, spec.layer_id, encoding, per_batch, spec.id_col, num_rows=row["num_rows"], num_bytes=row["bytes"]
     )
     encoded.write.mode("overwrite").option("compression", "none").parquet(target)
-    written = layer.sparkSession.read.parquet(target)
+    written = layer.sparkSession.read.schema(PAYLOAD_SCHEMA).parquet(target)
     return written.agg(F.coalesce(F.sum("byte_length"), F.lit(0)).alias("b")).first()["b"]
 
 
