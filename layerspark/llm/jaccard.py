@@ -27,8 +27,13 @@ each other: each meets the signature's first set (a star), and that settles grou
 near copies of any size in linear work. Only where a signature still holds sets of
 different components, the centres of their stars are compared, and sets around them only
 if the triangle inequality of the Jaccard distance leaves room for a link. Pairs whose
-sizes alone rule a link out are not compared. All comparisons are exact, on whole sets
-rebuilt from the texts of the candidates.
+sizes alone rule a link out are not compared.
+
+A set also has parities: its tokens are dealt to buckets by hash, one bit a bucket says
+whether it holds an odd number of them. Each token that only one of two sets holds flips
+one bit, so the bits that differ are a lower bound of the tokens not shared. Pairs that
+cannot link by this bound are settled on these few bytes. All others are compared
+exactly, on whole sets rebuilt from their texts.
 
 Defined results: null, empty and blank texts have no set and link with nothing, not even
 each other; texts shorter than a shingle have their word sequence as the only token.
@@ -65,6 +70,8 @@ CLASS_SETS = (3, 129)
 FREQUENT = 1 << 18
 # Partners of one set compared in one piece, and sets of one signature paired in one piece.
 PIECE = 256
+# Parity bits of a set, by its size; beyond that many the bound is looser, never wrong.
+LEAST_BITS, MOST_BITS = 64, 1 << 15
 # Distances are quotients of counts far below 2 ** 40.
 ROUNDING = 1e-9
 
@@ -120,12 +127,30 @@ def head_size(n: int, percent: int) -> int:
     return min(n, prefix_size(n, percent) + 3 * group_count(n, percent))
 
 
+def parities(tokens: np.ndarray) -> bytes:
+    """A bit per bucket of hashes: whether the bucket holds an odd number of tokens."""
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << len(tokens).bit_length()))
+    buckets = (tokens & np.uint64(width - 1)).astype(np.int64)
+    return np.packbits(np.bincount(buckets, minlength=width) & 1, bitorder="little").tobytes()
+
+
+def least_apart(one: bytes, two: bytes) -> int:
+    """Lower bound of the tokens in one set only, from the parities of both."""
+    few, many = sorted((one, two), key=len)
+    bits, width = int.from_bytes(many, "little"), 8 * len(many)
+    while width > 8 * len(few):
+        # Buckets by one hash bit less: each takes in the one half the width away.
+        width //= 2
+        bits = (bits ^ (bits >> width)) & ((1 << width) - 1)
+    return (bits ^ int.from_bytes(few, "little")).bit_count()
+
+
 def can_link(n: Column | int, percent: int) -> Column | bool:
     """Whether a set of n tokens can link with a different set at all."""
     return (n + 1) * percent <= n * 100
 
 
-ROW = "doc_id {kind}, n_shingles long, d1 long, d2 long, t1 long, t2 long, head array<long>"
+ROW = "doc_id {kind}, n_shingles long, d1 long, d2 long, t1 long, t2 long, head array<long>, bits binary"
 
 
 def described(docs: DataFrame, key: str, text: str, percent: int, shingle: int, seed: int) -> DataFrame:
@@ -134,7 +159,7 @@ def described(docs: DataFrame, key: str, text: str, percent: int, shingle: int,
 
     def describe(batches: Batches) -> Batches:
         for batch in batches:
-            sizes, digests, heads = [], [], []
+            sizes, digests, heads, bits = [], [], [], []
             for text in batch.column(1):
                 tokens = token_set(text.as_py(), shingle, seed)
                 n = len(tokens)
@@ -145,13 +170,15 @@ def described(docs: DataFrame, key: str, text: str, percent: int, shingle: int,
                 if can_link(n, percent):
                     cut = max(zone_tokens(tokens, min(bands(n, percent))), head_size(n, percent))
                 heads.append(tokens[:cut].view(np.int64))
+                bits.append(parities(tokens) if cut else b"")
             offsets = np.cumsum([0, *map(len, heads)], dtype=np.int32)
             digest = np.array(digests, dtype=np.int64).reshape(-1, 2)
             flat = pa.array(np.concatenate([*heads, np.zeros(0, dtype=np.int64)]))
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1])]
             columns += [batch.column(2), batch.column(3), pa.ListArray.from_arrays(pa.array(offsets), flat)]
             yield pa.RecordBatch.from_arrays(
-                columns, names=["doc_id", "n_shingles", "d1", "d2", "t1", "t2", "head"]
+                [*columns, pa.array(bits, pa.binary())],
+                names=["doc_id", "n_shingles", "d1", "d2", "t1", "t2", "head", "bits"],
             )
 
     made = slim.mapInArrow(describe, ROW.format(kind=slim.schema["doc_id"].dataType.simpleString()))
@@ -240,11 +267,42 @@ def signature_rows(sets: DataFrame, known: np.ndarray, kinds: np.ndarray, percen
 
 
 class Candidates:
-    """Exact comparison of pairs of sets, from the texts of the sets in question."""
+    """Comparison of pairs of sets: by parities, then exactly from the texts of those left.
+
+    ``parities`` is a stored table of ``id, n, bits``.
+    """
 
-    def __init__(self, docs: DataFrame, text: str, rows: DataFrame, percent: int, shingle: int, seed: int):
+    def __init__(
+        self, docs: DataFrame, text: str, rows: DataFrame, parities: DataFrame, percent: int, shingle: int, seed: int
+    ):
         self.docs = _keyed_texts(docs.select(text_or_empty(text).alias("text")))
-        self.rows, self.percent, self.shingle, self.seed = rows, percent, shingle, seed
+        self.rows, self.parities = rows, parities
+        self.percent, self.shingle, self.seed = percent, shingle, seed
+
+    def bounded(self, pairs: DataFrame) -> DataFrame:
+        """``a, b, distance, open``: a lower bound, and whether it leaves room for a link; written once."""
+        pairs = materialize(pairs, "jaccard-pairs")
+        sides = [self.parities.withColumnsRenamed({"id": s, "n": f"n_{s}", "bits": f"bits_{s}"}) for s in "ab"]
+        counts = pairs.groupBy("a").agg(F.count("*").alias("partners")).join(sides[0], "a")
+        counts = materialize(counts, "jaccard-partners")
+        met = join_spread(pairs, counts, ["a"], "partners", pairs.count()).join(sides[1], "b")
+        percent = self.percent
+
+        def bound(batches: Batches) -> Batches:
+            for batch in batches:
+                ones, twos = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+                apart = np.fromiter(map(least_apart, ones, twos), dtype=np.int64, count=len(ones))
+                n, m = (batch.column(i).to_numpy() for i in (2, 3))
+                apart = np.maximum(apart, np.abs(n - m))
+                # Twice the sizes of union and intersection, if no more tokens differ.
+                either, same = n + m + apart, n + m - apart
+                columns = [*batch.columns[:2], pa.array(2 * apart / either), pa.array(100 * same >= percent * either)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "distance", "open"])
+
+        slim = met.select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+        found = materialize(slim.mapInArrow(bound, "a long, b long, distance double, open boolean"), "jaccard-bounded")
+        discard(pairs, counts)
+        return found
 
     def texts(self, ids: DataFrame) -> DataFrame:
         """``id, text`` of the given ids; of copies of a text one row."""
@@ -261,8 +319,13 @@ class Candidates:
         return texts
 
     def compared(self, pairs: DataFrame) -> DataFrame:
-        """``a, b, same, either, linked`` of each pair: sizes of intersection and union; written once."""
-        pairs = materialize(pairs, "jaccard-pairs")
+        """``a, b, distance, linked`` of each pair, written once.
+
+        The distance is exact where the parities left room for a link, else their lower bound.
+        """
+        bounds = self.bounded(pairs)
+        far = bounds.filter("NOT open").select("a", "b", "distance", F.lit(False).alias("linked"))
+        pairs = bounds.filter("open").select("a", "b")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         texts = self.texts(ids)
         # A set with many partners meets them in pieces.
@@ -291,18 +354,18 @@ class Candidates:
                         continue
                     same = len(np.intersect1d(mine, tokens, assume_unique=True))
                     out.append((a, b, same, len(mine) + len(tokens) - same))
-                columns = np.array(out, dtype=np.int64).reshape(-1, 4).T
-                linked = 100 * columns[2] >= percent * columns[3]
+                ones, twos, same, either = np.array(out, dtype=np.int64).reshape(-1, 4).T
+                columns = [ones, twos, 1 - same / either, 100 * same >= percent * either]
                 yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, columns), pa.array(linked)], names=["a", "b", "same", "either", "linked"]
+                    [*map(pa.array, columns)], names=["a", "b", "distance", "linked"]
                 )
 
         made = rows.select("a", "b", "text").mapInArrow(
-            compare, "a long, b long, same long, either long, linked boolean"
+            compare, "a long, b long, distance double, linked boolean"
         )
         found = materialize(made, "jaccard-compared")
-        discard(pairs, texts, counts)
-        return found
+        discard(texts, counts)
+        return found.unionByName(far)
 
 
 def size_distance(a: str, b: str) -> Column:
@@ -356,8 +419,7 @@ def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
     """Links ``a, b`` that connect all sets which link; ``signed`` is a stored table of ``sig, id, n``."""
     reach = 1 - candidates.percent / 100
     members, pairs = stars(signed, reach)
-    distance = 1 - F.col("same") / F.col("either")
-    star = candidates.compared(pairs).withColumn("distance", distance)
+    star = candidates.compared(pairs)
     linked = star.filter("linked").select("a", "b")
 
     # Signatures that still hold sets of different components.
@@ -384,7 +446,7 @@ def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
     possible = (F.col("a_comp") != F.col("b_comp")) & (size_distance("a_centre_n", "b_centre_n") <= room)
     between = pairs_within(at, "sig", "centre", ["comp", "centre_n", "radius"], possible)
     middle = candidates.compared(between.join(star.select("a", "b"), ["a", "b"], "left_anti"))
-    measured = star.unionByName(middle.withColumn("distance", distance))
+    measured = star.unionByName(middle)
     linked = measured.filter("linked").select("a", "b")
 
     wide = measured.filter(~F.col("linked"))
@@ -427,14 +489,15 @@ def join_documents(
         F.min("row").alias("row"), F.min("doc_id").alias("least"), F.count("*").alias("copies")
     )
     copies = materialize(copies, "jaccard-classes")
-    sets = rows.filter(can_link(F.col("n_shingles"), percent)).select("row", "n_shingles", "head")
+    sets = rows.filter(can_link(F.col("n_shingles"), percent)).select("row", "n_shingles", "head", "bits")
     sets = materialize(sets.join(copies.select("row"), "row", "left_semi"), "jaccard-sets")
-    slim = materialize(rows.drop("head"), "jaccard-slim")
+    slim = materialize(rows.drop("head", "bits"), "jaccard-slim")
     discard(rows)
+    odd = materialize(sets.select(F.col("row").alias("id"), F.col("n_shingles").alias("n"), "bits"), "jaccard-parities")
     known, kinds = frequent_tokens(sets, limits)
     signed = materialize(signature_rows(sets, known, kinds, percent), "jaccard-signatures")
     discard(sets)
-    found = materialize(links(signed, Candidates(docs, text, slim, percent, shingle, seed)), "jaccard-links")
+    found = materialize(links(signed, Candidates(docs, text, slim, odd, percent, shingle, seed)), "jaccard-links")
     discard(signed)
     named = _named(copies.withColumnRenamed("row", "id"), found)
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))

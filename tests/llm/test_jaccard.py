@@ -119,6 +119,23 @@ def test_every_link_shares_a_signature():
         assert found[0] & found[1], (trial, len(base), len(other))
 
 
+def test_parities_bound_the_difference():
+    """The bound never exceeds the true number, and is close for sets near the threshold."""
+    draw = np.random.default_rng(2)
+    for trial in range(200):
+        n = int(draw.integers(1, 5000)) if trial else 100_000
+        one = np.unique(draw.integers(0, 2**64, n, dtype=np.uint64))
+        lost, more = (int(draw.integers(0, max(1, n // 3))) for _ in "ab")
+        two = np.unique(np.append(draw.permutation(one)[lost:], draw.integers(0, 2**64, more, dtype=np.uint64)))
+        apart = len(np.setxor1d(one, two))
+        bound = jaccard.least_apart(jaccard.parities(one), jaccard.parities(two))
+        assert bound == jaccard.least_apart(jaccard.parities(two), jaccard.parities(one))
+        assert bound <= apart and (bound - apart) % 2 == 0
+        assert n > 10_000 or bound >= 0.5 * apart - 8
+        assert len(jaccard.parities(one)) <= jaccard.MOST_BITS // 8
+    assert jaccard.least_apart(jaccard.parities(one), jaccard.parities(one)) == 0
+
+
 def test_pairs_within_large_groups(spark):
     rows = [("x", i, i % 3) for i in range(40)] + [("y", i, i % 2) for i in range(30, 45)] + [("z", 1, 1)]
     frame = spark.createDataFrame(rows, "g string, i long, d long")
