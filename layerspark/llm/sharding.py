@@ -7,6 +7,9 @@ Each partition then permutes its own rows and deals them out by its row of the
 matrix, rows are exchanged, and each shard permutes what it got. All permutations
 are equally likely, yet no count has to be corrected afterwards.
 
+Counts have no upper limit: each is drawn by inversion of its hypergeometric law, whose
+probabilities come from ratios of neighbouring values, outwards from the most likely one.
+
 The matrix has one row per partition and one column per shard. Partitions are
 counted in one aggregate; what reaches the driver is one count per partition.
 
@@ -20,6 +23,8 @@ Columns beside key and text are not read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +35,7 @@ from layerspark.session import materialize
 SHARDS = 8
 SEED = 11
 SLICE_ROWS = 20_000
+REACH = 12
 
 
 def even_sizes(rows: int, shards: int) -> np.ndarray:
@@ -37,18 +43,46 @@ def even_sizes(rows: int, shards: int) -> np.ndarray:
     return np.array([rows // shards + (i < rows % shards) for i in range(shards)], dtype=np.int64)
 
 
+def hypergeometric(chosen: int, others: int, drawn: int, draw: np.random.Generator) -> int:
+    """How many of ``drawn`` rows, out of both kinds without replacement, are chosen ones.
+
+    Sums reach ``REACH`` standard deviations (and as many values) to both sides of the
+    most likely value; what lies beyond is below the spacing of doubles.
+    """
+    low, high = max(0, drawn - others), min(chosen, drawn)
+    if low == high:
+        return low
+    rows = chosen + others
+    mode = min(high, max(low, (drawn + 1) * (chosen + 1) // (rows + 2)))
+    spread = math.sqrt(drawn / rows * chosen * (others / rows) * ((rows - drawn) / max(1, rows - 1)))
+    reach = math.ceil(REACH * (spread + 1))
+    # Whole numbers up to 2 ** 53 are exact as doubles.
+    up = np.arange(mode, min(high, mode + reach), dtype=np.float64)
+    down = np.arange(mode, max(low, mode - reach), -1, dtype=np.float64)
+    rising = np.cumprod((chosen - up) / (up + 1) * ((drawn - up) / (others - drawn + up + 1)))
+    falling = np.cumprod(down / (chosen - down + 1) * ((others - drawn + down) / (drawn - down + 1)))
+    weights = np.concatenate([falling[::-1], [1.0], rising])
+    sums = np.cumsum(weights)
+    at = int(np.searchsorted(sums, draw.random() * sums[-1], side="right"))
+    return mode - len(falling) + min(at, len(weights) - 1)
+
+
 def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarray:
     """Rows that each partition sends to each shard: exact in every row and column sum.
 
-    One partition after the other draws its rows from the places that are left.
+    One partition after the other draws its rows from the places that are left, shard by shard.
     """
     draw = np.random.default_rng(seed)
-    left = even_sizes(sum(counts), shards)
+    left = [int(size) for size in even_sizes(sum(counts), shards)]
     matrix = np.zeros((len(counts), shards), dtype=np.int64)
     for i, count in enumerate(counts):
-        # "marginals" allows any number of places, "count" would list them.
-        matrix[i] = draw.multivariate_hypergeometric(left, count, method="marginals")
-        left -= matrix[i]
+        places = sum(left)
+        for j in range(shards):
+            places -= left[j]
+            sent = hypergeometric(left[j], places, count, draw)
+            matrix[i, j] = sent
+            left[j] -= sent
+            count -= sent
     return matrix
 
 

@@ -1,4 +1,6 @@
 import zlib
+from collections import Counter
+from math import comb
 
 import numpy as np
 
@@ -30,6 +32,31 @@ def test_matrix_sums_and_law():
     assert abs(drawn[:, 4, 0].var() / variance - 1) < 0.12
 
 
+def test_counts_follow_the_law():
+    """Every value of small laws, by chi-square against exact binomial coefficients."""
+    draw = np.random.default_rng(3)
+    for chosen, others, drawn in [(7, 5, 6), (3, 40, 20), (30, 2, 9), (1, 1, 1)]:
+        got = Counter(sharding.hypergeometric(chosen, others, drawn, draw) for _ in range(4000))
+        law = {k: comb(chosen, k) * comb(others, drawn - k) / comb(chosen + others, drawn) for k in range(drawn + 1)}
+        assert set(got) <= {k for k, p in law.items() if p}
+        likely = {k: p for k, p in law.items() if p * 4000 >= 5}
+        assert sum((got[k] - 4000 * p) ** 2 / (4000 * p) for k, p in likely.items()) < 30
+    assert [sharding.hypergeometric(*c, draw) for c in [(5, 0, 3), (0, 9, 4), (6, 3, 9), (8, 8, 0)]] == [3, 0, 6, 0]
+
+
+def test_matrix_of_a_huge_table():
+    counts = [10**12, 3, 0, 4 * 10**11, 5 * 10**11 + 1]
+    drawn = sharding.communication_matrix(counts, 8, 5)
+    sizes = sharding.even_sizes(sum(counts), 8)
+    assert drawn.sum(axis=1).tolist() == counts and (drawn.sum(axis=0) == sizes).all() and (drawn >= 0).all()
+    n, k = sum(counts), counts[3]
+    spread = (k / 8 * 7 / 8 * (n - k) / n) ** 0.5
+    assert 0 < abs(drawn[3] - k / 8).max() < 6 * spread
+    single = [sharding.hypergeometric(10**11, 7 * 10**11, 10**7, np.random.default_rng(s)) for s in range(400)]
+    assert abs(np.mean(single) - 10**7 / 8) < 5 * (10**7 / 8 * 7 / 8 / 400) ** 0.5
+    assert abs(np.var(single) / (10**7 / 8 * 7 / 8) - 1) < 0.35
+
+
 def test_every_place_is_equally_likely(spark):
     rows = spark.range(16).repartition(3)
     counts = np.zeros((16, 4))
