@@ -27,7 +27,8 @@ each other: each meets the signature's first set (a star), and that settles grou
 near copies of any size in linear work. Only where a signature still holds sets of
 different components, the centres of their stars are compared, and sets around them only
 if the triangle inequality of the Jaccard distance leaves room for a link. Pairs whose
-sizes alone rule a link out are not compared.
+sizes alone rule a link out are not compared. Many centres of one signature are screened
+in blocks, by their parities, so that only pairs with room for a link become rows.
 
 A set also has parities: its tokens are dealt to buckets by hash, one bit a bucket says
 whether it holds an odd number of them. Each token that only one of two sets holds flips
@@ -70,6 +71,8 @@ CLASS_SETS = (3, 129)
 FREQUENT = 1 << 18
 # Partners of one set compared in one piece, and sets of one signature paired in one piece.
 PIECE = 256
+# Centres of one signature from which on they are screened in blocks, and the side of a block.
+BLOCK_FROM, BLOCK = 32, 4096
 # Parity bits of a set, by its size; beyond that many the bound is looser, never wrong.
 LEAST_BITS, MOST_BITS = 64, 1 << 15
 # Distances are quotients of counts far below 2 ** 40.
@@ -395,6 +398,49 @@ def pairs_within(items: DataFrame, group: str, item: str, columns: list[str], ke
     return met.filter(keep).select("a", "b").distinct()
 
 
+def folded(bits: list[bytes]) -> np.ndarray:
+    """Parities of several sets as rows of words, all by the hash bits of the smallest set."""
+    words = [np.frombuffer(one, dtype=np.uint64) for one in bits]
+    least = min(map(len, words))
+    return np.array([np.bitwise_xor.reduce(one.reshape(-1, least), axis=0) for one in words])
+
+
+def block_pairs(items: DataFrame, reach: float, side: int = BLOCK) -> DataFrame:
+    """Distinct pairs ``a < b`` of centres of a signature that their parities leave room for.
+
+    ``items`` has ``sig, centre, comp, centre_n, radius, bits`` and ``items``, the number of
+    centres of the signature. They are dealt into pieces by hash, every two pieces are a
+    block of their own, and a task holds one block at a time. Only pairs that pass leave it.
+    """
+    dealt = items.withColumn("pieces", F.ceil(F.col("items") / side))
+    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("centre"), F.col("pieces")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+    columns = ["sig", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q")]
+    sent = dealt.select(*columns, "piece", "centre", "comp", "centre_n", "radius", "bits")
+
+    def screen(block: pa.Table) -> pa.Table:
+        block = block.combine_chunks()
+        piece, ids, comp, n, radius = (
+            block[c].to_numpy() for c in ("piece", "centre", "comp", "centre_n", "radius")
+        )
+        words = folded(block["bits"].to_pylist())
+        first, last = block["p"][0].as_py(), block["q"][0].as_py()
+        right = np.flatnonzero(piece == last)
+        found = []
+        for place, i in enumerate(np.flatnonzero(piece == first)):
+            # Within one piece, each set meets those after it.
+            js = right[place + 1 :] if first == last else right
+            js = js[comp[js] != comp[i]]
+            apart = np.bitwise_count(words[js] ^ words[i]).sum(axis=1, dtype=np.int64)
+            apart = np.maximum(apart, np.abs(n[js] - n[i]))
+            js = js[2 * apart / (n[js] + n[i] + apart) <= radius[js] + radius[i] + reach + ROUNDING]
+            found.append(np.sort(np.stack([np.full(len(js), ids[i]), ids[js]]), axis=0))
+        a, b = np.concatenate([np.zeros((2, 0), dtype=np.int64), *found], axis=1)
+        return pa.table({"a": a, "b": b})
+
+    return sent.groupBy("sig", "p", "q").applyInArrow(screen, "a long, b long").distinct()
+
+
 def _named(members: DataFrame, links: DataFrame) -> DataFrame:
     """``members`` with ``comp``, the component of ``id``."""
     roots = components(links).select(F.col("node").alias("id"), F.col("root"))
@@ -442,9 +488,15 @@ def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
     sizes = signed.select(F.col("id").alias("centre"), F.col("n").alias("centre_n")).distinct()
     radii = materialize(radii.join(sizes, "centre"), "jaccard-centres")
     at = rest.select("sig", "centre", "comp").distinct().join(radii, "centre")
+    at = materialize(at, "jaccard-at")
+    shared = at.groupBy("sig").agg(F.count("*").alias("items")).filter("items > 1")
+    at = join_spread(at, materialize(shared, "jaccard-shared"), ["sig"], "items", at.count())
+    few, many = at.filter(F.col("items") <= BLOCK_FROM).drop("items"), at.filter(F.col("items") > BLOCK_FROM)
+    bits = candidates.parities.select(F.col("id").alias("centre"), "bits")
     room = F.col("a_radius") + F.col("b_radius") + reach + ROUNDING
     possible = (F.col("a_comp") != F.col("b_comp")) & (size_distance("a_centre_n", "b_centre_n") <= room)
-    between = pairs_within(at, "sig", "centre", ["comp", "centre_n", "radius"], possible)
+    between = pairs_within(few, "sig", "centre", ["comp", "centre_n", "radius"], possible)
+    between = between.unionByName(block_pairs(many.join(bits, "centre"), reach)).distinct()
     middle = candidates.compared(between.join(star.select("a", "b"), ["a", "b"], "left_anti"))
     measured = star.unionByName(middle)
     linked = measured.filter("linked").select("a", "b")

@@ -145,6 +145,35 @@ def test_pairs_within_large_groups(spark):
         assert len(pairs) == len(want) and {tuple(p) for p in pairs} == want
 
 
+@pytest.mark.parametrize("side", [7, 4096])
+def test_blocks_keep_every_pair_with_room(spark, side):
+    draw = np.random.default_rng(6)
+    base = draw.integers(0, 2**64, 130, dtype=np.uint64)
+    sets, rows = [], []
+    for i in range(60):
+        fresh = draw.integers(0, 2**64, int(draw.integers(0, 30)), dtype=np.uint64)
+        sets.append(np.unique(np.append(draw.permutation(base)[int(draw.integers(0, 20)) :], fresh)))
+        bits = bytearray(jaccard.parities(sets[-1]))
+        rows.append((i % 2, i, i % 9, len(sets[-1]), 0.02 * (i % 3), bits, 30))
+    frame = spark.createDataFrame(rows, "sig long, centre long, comp long, centre_n long, radius double, bits binary, items long")
+    found = [tuple(r) for r in jaccard.block_pairs(frame, 0.1, side).collect()]
+    assert len(set(found)) == len(found) < 600
+    for a in range(60):
+        for b in range(a + 1, 60):
+            same, far = len(np.intersect1d(sets[a], sets[b])), len(np.setxor1d(sets[a], sets[b]))
+            near = far / (far + same) <= 0.1 + 0.02 * (a % 3) + 0.02 * (b % 3)
+            apart = a % 2 != b % 2 or a % 9 == b % 9
+            assert not (apart and (a, b) in found)
+            assert apart or not near or (a, b) in found
+
+
+@pytest.mark.parametrize("least", [0, 10_000])
+def test_blocks_and_rows_find_the_same(spark, monkeypatch, least):
+    monkeypatch.setattr(jaccard, "BLOCK_FROM", least)
+    rows = family(21, size=120)
+    assert got(spark.createDataFrame(rows, SCHEMA), limits=(3, 9)) == brute(rows)
+
+
 def test_group_of_near_copies_is_a_star(spark, monkeypatch):
     """Near copies meet the first of them, not each other."""
     draw = random.Random(4)
