@@ -449,11 +449,10 @@ def _named(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def stars(signed: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
     """The members of each signature but its first, and the pairs ``a, b`` of first and member."""
-    buckets = signed.groupBy("sig").agg(F.min("id").alias("lead"), F.count("*").alias("members"))
-    buckets = buckets.filter("members > 1")
-    # A set leads no more signatures than it has.
-    sizes = signed.select(F.col("sig"), F.col("id").alias("lead"), F.col("n").alias("lead_n"))
-    buckets = materialize(buckets.join(sizes, ["sig", "lead"]), "jaccard-buckets")
+    buckets = signed.groupBy("sig").agg(
+        F.min("id").alias("lead"), F.min_by("n", "id").alias("lead_n"), F.count("*").alias("members")
+    )
+    buckets = materialize(buckets.filter("members > 1"), "jaccard-buckets")
     members = join_spread(signed, buckets, ["sig"], "members", signed.count()).filter("id <> lead")
     members = materialize(members, "jaccard-members")
     discard(buckets)
