@@ -109,6 +109,47 @@ def geohash(lon: Column | str, lat: Column | str, length: int) -> Column:
     return geohash_text(geohash_code(lon, lat, length), length)
 
 
+def hilbert_index(lon: Column | str, lat: Column | str, bits: int = 16) -> Column:
+    """Place of a point on a Hilbert curve over the lon/lat grid of 2**bits x 2**bits cells, as BIGINT.
+
+    Cells next to each other on the curve are neighbours on the map, without the jumps
+    of a geohash. Null when a coordinate is null; points outside the grid count
+    to its border cells.
+    """
+    if not 1 <= bits <= 31:
+        raise ValueError("a Hilbert index has 1 to 31 bits a side")
+    zero, one = _long(0), _long(1)
+    start = F.struct(
+        zero.alias("code"),
+        _step(_col(lon), -180.0, 360.0, bits).alias("x"),
+        _step(_col(lat), -90.0, 180.0, bits).alias("y"),
+        zero.alias("swapped"),
+        zero.alias("flipped"),
+    )
+
+    def quarter(state: Column, place: Column) -> Column:
+        """One quarter of the cell more, seen as the curve lies in it: mirrored, turned or as it is."""
+        sides = [
+            F.call_function("shiftright", state[c], place).bitwiseAND(one).bitwiseXOR(state["flipped"])
+            for c in ("x", "y")
+        ]
+        turned = state["swapped"] == one
+        across = F.when(turned, sides[1]).otherwise(sides[0])
+        up = F.when(turned, sides[0]).otherwise(sides[1])
+        low = one - up
+        return F.struct(
+            (state["code"] * 4 + (across * 3).bitwiseXOR(up)).alias("code"),
+            state["x"].alias("x"),
+            state["y"].alias("y"),
+            state["swapped"].bitwiseXOR(low).alias("swapped"),
+            state["flipped"].bitwiseXOR(low.bitwiseAND(across)).alias("flipped"),
+        )
+
+    places = F.sequence(F.lit(bits - 1), F.lit(0))
+    index = F.aggregate(places, start, quarter, lambda state: state["code"])
+    return F.when(_col(lon).isNotNull() & _col(lat).isNotNull(), index)
+
+
 def h3_from_text(cell: Column | str) -> Column:
     """Hexadecimal cell id to BIGINT; H3 ids leave the top bit clear."""
     return F.conv(_col(cell), 16, 10).cast("long")

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerspark.functions.geo import hilbert_index
 from layerspark.functions.widths import row_width
 from layerspark.session import broadcast_if_small, materialize
 
@@ -220,6 +221,25 @@ def sort_for_encoding(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartitionByRange(*by).sortWithinPartitions(*by)
 
 
+def hilbert_order(
+    df: DataFrame,
+    lon: str = "lon",
+    lat: str = "lat",
+    id_col: str = "feature_id",
+    bits: int = 16,
+    name: str = "hilbert",
+) -> DataFrame:
+    """Rows along a Hilbert curve over their places, with their index on it as ``name``.
+
+    Rows of one cell lie in id order, so that a crowded cell can be split over
+    partitions; rows without a place come first. An empty table stays empty.
+    """
+    if name in df.columns:
+        raise ValueError(f"the table has a column {name!r} already; choose another name")
+    coded = df.withColumn(name, hilbert_index(f"`{lon}`", f"`{lat}`", bits))
+    return sort_for_encoding(coded, f"`{name}`", f"`{id_col}`")
+
+
 def canonical_order(df: DataFrame, id_col: str = "feature_id") -> DataFrame:
     """Id column first, the others by name; rows in id order."""
     others = sorted(c for c in df.columns if c != id_col)

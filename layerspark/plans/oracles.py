@@ -415,6 +415,19 @@ def registry() -> dict[str, str]:
           SELECT 'layer-0' AS layer_id, batch_id, 'layer-0-' || batch_id AS sub_layer_id, count(*) AS num_rows,
           batch_id * 1000 AS row_offset FROM b GROUP BY batch_id""",
         "sort_for_encoding": f"WITH {PLACES} SELECT feature_id, code, row_number() OVER (ORDER BY code, feature_id) - 1 AS position FROM (SELECT feature_id, {geohash_code('lon', 'lat', 6)} AS code FROM places)",
+        "hilbert_order": f"""WITH RECURSIVE {NULLS}, curve AS (
+            SELECT feature_id, CAST(32768 AS BIGINT) AS side, CAST(0 AS BIGINT) AS code,
+              CAST(floor((lon + {D(180.0)}) / {D(360.0)} * {D(65536.0)}) AS BIGINT) AS x,
+              CAST(floor((lat + {D(90.0)}) / {D(180.0)} * {D(65536.0)}) AS BIGINT) AS y
+            FROM places_nulls WHERE lon IS NOT NULL
+            UNION ALL
+            SELECT feature_id, side // 2, code + CAST(side AS BIGINT) * side * CASE
+                WHEN x & side > 0 AND y & side > 0 THEN 2 WHEN x & side > 0 THEN 3 WHEN y & side > 0 THEN 1 ELSE 0 END,
+              CASE WHEN y & side > 0 THEN x WHEN x & side > 0 THEN 65535 - y ELSE y END,
+              CASE WHEN y & side > 0 THEN y WHEN x & side > 0 THEN 65535 - x ELSE x END
+            FROM curve WHERE side > 0)
+          SELECT feature_id, c.code, row_number() OVER (ORDER BY c.code NULLS FIRST, feature_id) - 1 AS position
+          FROM places_nulls LEFT JOIN (SELECT feature_id, code FROM curve WHERE side = 0) c USING (feature_id)""",
         "stack_layers": f"""WITH {PLACES}, {H3} SELECT feature_id, name, value, CAST(NULL AS VARCHAR) AS cell, 'layer-0' AS layer_id, 0 AS position FROM places
           UNION ALL SELECT feature_id, NULL, value, lower(to_hex(cell)), 'layer-1', 1 FROM h3""",
         "layer_parquet": f"WITH {COLOURS} SELECT feature_id, lon AS geom_x, lat AS geom_y, name, r, g, b FROM coloured",

@@ -543,6 +543,12 @@ def q_sort_for_encoding(spark, sf):
     return order.row_positions(lying).withColumnRenamed("row_index", "position")
 
 
+def q_hilbert_order(spark, sf):
+    """Rows along a Hilbert curve; rows without a place first."""
+    lying = order.hilbert_order(fx.places_nulls(spark, sf).select("feature_id", "lon", "lat"), name="code")
+    return order.row_positions(lying.select("feature_id", "code")).withColumnRenamed("row_index", "position")
+
+
 def q_stack_layers(spark, sf):
     first = fx.places(spark, sf).select("feature_id", "name", "value")
     second = fx.h3_cells(spark, sf)
