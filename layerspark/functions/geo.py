@@ -76,7 +76,7 @@ def in_box(lon: Column, lat: Column, box: tuple[float, float, float, float]) ->
 
 
 def geohash_code(lon: Column | str, lat: Column | str, length: int) -> Column:
-    """Geohash of 1 to 12 characters as a BIGINT (5 bits per character).
+    """Geohash of 1 to 12 characters as a BIGINT (5 bits per character); null when a coordinate is null.
 
     Group and join on this code and turn it to text afterwards: a long key stays
     in the fast hash aggregate and is smaller in the shuffle.
@@ -93,7 +93,7 @@ def geohash_code(lon: Column | str, lat: Column | str, length: int) -> Column:
         bit = F.shiftright(source, width - 1 - place // 2).bitwiseAND(F.lit(1).cast("long"))
         moved = F.shiftleft(bit, bits - 1 - place)
         code = moved if code is None else code.bitwiseOR(moved)
-    return code
+    return F.when(_col(lon).isNotNull() & _col(lat).isNotNull(), code)
 
 
 def geohash_text(code: Column | str, length: int) -> Column:

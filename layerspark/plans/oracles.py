@@ -115,7 +115,7 @@ def geohash_code(lon: str, lat: str, length: int) -> str:
     for place in range(bits):
         source, width = (x, nx) if place % 2 == 0 else (y, ny)
         parts.append(f"((({source} >> {width - 1 - place // 2}) & 1) << {bits - 1 - place})")
-    return "(" + " | ".join(parts) + ")"
+    return f"(CASE WHEN ({lon}) IS NOT NULL AND ({lat}) IS NOT NULL THEN {' | '.join(parts)} END)"
 
 
 def geohash_text(code: str, length: int) -> str:

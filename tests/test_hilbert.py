@@ -1,8 +1,8 @@
-"""The Hilbert curve over lon/lat cells and the row order along it."""
+"""Codes of lon/lat cells: the Hilbert curve, the row order along it, places without coordinates."""
 
 import pytest
 from layerspark.functions import geo
-from layerspark.operators import order
+from layerspark.operators import cells, order
 from layerspark.sources import gen_points
 from plan_text import plan_of
 from pyspark.sql import functions as F
@@ -81,3 +81,14 @@ def test_order_keeps_all_rows_and_splits_a_crowded_cell(spark):
 def test_order_is_one_shuffle_without_python(spark, sf):
     plan = plan_of(order.hilbert_order(gen_points(spark, 1_000, seed=2).select("feature_id", "lon", "lat")))
     assert plan.count(") Exchange") == 1 and "Python" not in plan and "Join" not in plan
+
+
+def test_places_without_coordinates_are_in_no_cell(spark):
+    df = spark.createDataFrame(
+        [(1, None, 1.0, 5.0), (2, 1.0, None, 5.0), (3, None, None, 5.0), (4, -180.0, -90.0, 7.0)],
+        "feature_id long, lon double, lat double, value double",
+    )
+    coded = df.select("feature_id", geo.geohash_code("lon", "lat", 4).alias("code"), geo.geohash("lon", "lat", 4).alias("text"))
+    assert {r[0]: (r[1], r[2]) for r in coded.collect()} == {1: (None, None), 2: (None, None), 3: (None, None), 4: (0, "0000")}
+    rolled = cells.geohash_rollup(df, 4, "value").collect()
+    assert [(r["cell"], r["count"], r["mean"]) for r in rolled] == [("0000", 1, 7.0)]
