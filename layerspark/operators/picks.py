@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerspark.functions import geo
 from layerspark.functions.text import tooltip_text
+from layerspark.operators import near
 from layerspark.session import broadcast_if_small, materialize
 from layerspark.sinks.rows import StoredRows
 
@@ -84,134 +83,44 @@ def nearest_feature(
     lat: str = "lat",
     cell_rows: int = 16,
     max_levels: int = 9,
+    block_places: int = near.BLOCK_PLACES,
+    block_points: int = near.BLOCK_POINTS,
 ) -> DataFrame:
     """Nearest feature within the radius of each point; ties go to the lowest id.
 
-    Grid cells as wide as the radius are split 4 x 4 again and again until no
-    cell holds more than ``cell_rows`` places (or ``max_levels`` is reached), so
-    that a crowded cell never meets its points as a whole. A point first looks
-    at the 3 x 3 smallest cells around it: a feature found there within a cell's
-    width is the nearest. The few points without one descend from the widest
-    cells, and at each level keep only occupied cells that can still hold the
-    nearest feature. Features at one place count once.
+    The map is split 4 x 4 again and again into blocks of a bounded number of places. Each point
+    is sent to its own block, and then only to blocks that may hold a feature nearer than the one
+    found there. Within a block, cells are split until none holds more than ``cell_rows``
+    places, and points descend through the occupied cells that can still hold the nearest
+    feature. Blocks are no smaller than the radius / 4**``max_levels``. Features at one place
+    count once; a coordinate that is null or not finite has no place.
     """
+    known = (F.abs(F.col(lon)) < F.lit(float("inf"))) & (F.abs(F.col(lat)) < F.lit(float("inf")))
     # One row per place, combined before the shuffle: the lowest id wins any tie there.
     places = (
-        layer.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+        layer.where(known)
         .groupBy(F.col(lon).alias("f_lon"), F.col(lat).alias("f_lat"))
-        .agg(F.min(id_col).alias(id_col))
+        .agg(F.min(id_col).alias("_f"))
     )
-    asked = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).select(
-        point_id, F.col(lon).alias("p_lon"), F.col(lat).alias("p_lat")
+    asked = points.where(known).select(
+        F.col(point_id).alias("_p"), F.col(lon).alias("p_lon"), F.col(lat).alias("p_lat")
     )
-    grid = _Grid(asked, radius_m, max_levels)
+    grid = near.Grid(asked, radius_m, max_levels)
     cells = grid.cells(F.col("f_lon"), F.col("f_lat"), max_levels)
     places = materialize(places.withColumns(dict(zip(("_x", "_y"), cells, strict=True))), "places")
-    levels = _levels_needed(places, max_levels, cell_rows)
-
-    # Each point meets several places, so the work is spread by cell even where one side
-    # would be small enough to broadcast next to few input splits.
-    seen = grid.around(asked, levels, point_id)
-    near = grid.at(places, levels, id_col).hint("merge")
-    close = _closest(seen.join(near, ["_cx", "_cy"]), point_id, id_col)
-    within = close.where(F.col("distance_m") <= F.lit(radius_m / 4.0**levels))
-    if levels == 0:
-        return within
-    within = materialize(within, "near")
-    rest = asked.join(within.select(point_id), point_id, "left_anti")
-    found = grid.around(rest, 0, point_id)
-    for level in range(1, levels + 1):
-        found = grid.descend(found, places, level, point_id, radius_m)
-    far = _closest(found.join(near, ["_cx", "_cy"]), point_id, id_col)
-    return within.unionByName(far.where(F.col("distance_m") <= F.lit(float(radius_m))))
-
-
-def _closest(pairs: DataFrame, point_id: str, id_col: str) -> DataFrame:
-    distance = geo.haversine_m(F.col("p_lon"), F.col("p_lat"), F.col("f_lon"), F.col("f_lat"))
-    best = Window.partitionBy(point_id).orderBy("distance_m", id_col)
-    return (
-        pairs.withColumn("distance_m", distance)
-        .withColumn("_rank", F.row_number().over(best))
-        .where("_rank = 1")
-        .select(point_id, id_col, "distance_m")
+    blocks = near.Blocks(grid, places, block_places)
+    places = blocks.blocked(places)
+
+    radius = F.lit(float(radius_m))
+    at = grid.cells(F.col("p_lon"), F.col("p_lat"), max_levels)
+    asked = asked.withColumns(dict(zip(("_x", "_y"), at, strict=True))).withColumn("bound", radius)
+    own = blocks.nearest(blocks.blocked(asked), places, cell_rows, block_points)
+    own = materialize(own, "near")
+    bound = F.least(F.coalesce("best.distance_m", radius), radius)
+    rest = materialize(blocks.others(own.withColumn("bound", bound).drop("best")), "rest")
+    others = blocks.nearest(rest, places, cell_rows, block_points)
+    found = own.select("_p", "best").unionByName(others.select("_p", "best"))
+    found = found.where(F.col("best.distance_m") <= radius).groupBy("_p").agg(F.min("best").alias("best"))
+    return found.select(
+        F.col("_p").alias(point_id), F.col("best.id").alias(id_col), F.col("best.distance_m").alias("distance_m")
     )
-
-
-class _Grid:
-    """Lon/lat grid; a cell of level k is at least radius / 4**k wide and high at the points."""
-
-    def __init__(self, points: DataFrame, radius_m: float, max_levels: int):
-        top = points.agg(F.max(F.abs("p_lat"))).first()[0] or 0.0
-        west, south, east, north = geo.radius_box(0.0, float(top), radius_m)
-        # A little wider, so that rounding cannot hide a neighbour.
-        self.columns = max(1, int(360.0 / ((east - west) / 2 * 1.0001)))
-        self.rows = max(1, int(180.0 / ((north - south) / 2 * 1.0001)))
-        self.max_levels = max_levels
-
-    def cells(self, lon, lat, level: int):
-        across, up = self.columns << (2 * level), self.rows << (2 * level)
-        x = F.floor((lon + F.lit(180.0)) / F.lit(360.0) * F.lit(float(across)))
-        y = F.floor((lat + F.lit(90.0)) / F.lit(180.0) * F.lit(float(up)))
-        top = F.lit(up - 1).cast("long")
-        return F.pmod(x, F.lit(across).cast("long")), F.least(F.greatest(y, F.lit(0).cast("long")), top)
-
-    def at(self, places: DataFrame, level: int, id_col: str) -> DataFrame:
-        down = 2 * (self.max_levels - level)
-        cell = [F.shiftright("_x", down).alias("_cx"), F.shiftright("_y", down).alias("_cy")]
-        return places.select(id_col, "f_lon", "f_lat", *cell)
-
-    def around(self, points: DataFrame, level: int, point_id: str) -> DataFrame:
-        """Each point with the 3 x 3 cells around it; columns wrap at the antimeridian."""
-        x, y = self.cells(F.col("p_lon"), F.col("p_lat"), level)
-        across = self.columns << (2 * level)
-        moves = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
-        near = points.withColumns({"_px": x, "_py": y, "_m": F.explode(F.array(*moves))}).select(
-            point_id,
-            "p_lon",
-            "p_lat",
-            F.pmod(F.col("_px") + F.col("_m.i"), F.lit(across).cast("long")).alias("_cx"),
-            (F.col("_py") + F.col("_m.j")).alias("_cy"),
-        )
-        return near.distinct() if across < 3 else near
-
-    def descend(
-        self, found: DataFrame, places: DataFrame, level: int, point_id: str, radius_m: float
-    ) -> DataFrame:
-        """Occupied child cells that can still hold the nearest feature of each point."""
-        down = 2 * (self.max_levels - level)
-        inner = places.select(
-            F.shiftright("_x", down).alias("_kx"), F.shiftright("_y", down).alias("_ky")
-        ).distinct()
-        inner = inner.withColumns({"_cx": F.shiftright("_kx", 2), "_cy": F.shiftright("_ky", 2)})
-        children = found.join(inner.hint("merge"), ["_cx", "_cy"]).drop("_cx", "_cy")
-        width = 360.0 / (self.columns << (2 * level))
-        height = 180.0 / (self.rows << (2 * level))
-        mid_lon = (F.col("_kx") + F.lit(0.5)) * F.lit(width) - F.lit(180.0)
-        mid_lat = (F.col("_ky") + F.lit(0.5)) * F.lit(height) - F.lit(90.0)
-        middle = geo.haversine_m(F.col("p_lon"), F.col("p_lat"), mid_lon, mid_lat)
-        # No place of a cell is further from its middle than half a diagonal, plus a millimetre.
-        chord = min(1.0, math.hypot(math.radians(width / 2), math.radians(height / 2)) / 2)
-        half = 2 * geo.EARTH_RADIUS_M * math.asin(chord) + 1e-3
-        nearest = F.min("_middle").over(Window.partitionBy(point_id))
-        bound = F.least(nearest + F.lit(half), F.lit(float(radius_m)))
-        return (
-            children.withColumn("_middle", middle)
-            .withColumn("_bound", bound)
-            .where(F.col("_middle") - F.lit(half) <= F.col("_bound"))
-            .select(point_id, "p_lon", "p_lat", F.col("_kx").alias("_cx"), F.col("_ky").alias("_cy"))
-        )
-
-
-def _levels_needed(places: DataFrame, max_levels: int, cell_rows: int) -> int:
-    """Fewest splits after which no cell holds more than ``cell_rows`` places.
-
-    Places are counted once, in the smallest cells, and the counts are added up for all
-    wider ones in the same job.
-    """
-    smallest = places.groupBy("_x", "_y").agg(F.count(F.lit(1)).alias("n"))
-    levels = smallest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(max_levels - 1))))
-    down = (F.lit(max_levels) - F.col("level")) * 2
-    cell = [F.call_function("shiftright", c, down) for c in ("_x", "_y")]
-    crowded = levels.groupBy("level", *cell).agg(F.sum("n").alias("n")).where(F.col("n") > cell_rows)
-    deepest = crowded.agg(F.max("level")).first()[0]
-    return 0 if deepest is None else deepest + 1

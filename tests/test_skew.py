@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from layerspark.operators import cells, order, picks, select, shape
+from layerspark.operators import cells, near, order, picks, select, shape
 from layerspark.operators.skew import exact_percentiles, hot_keys
 from layerspark.streaming.throttling import throttle
 from pyspark.sql import functions as F
@@ -129,6 +129,50 @@ def test_nearest_feature_equals_brute_force(spark, place, spread, radius, cell_r
         assert row["feature_id"] == feature or row["distance_m"] == pytest.approx(distance, abs=1e-7)
 
 
+def test_nearest_feature_equals_brute_force_in_small_blocks(spark):
+    radius = 3_000.0
+    points, features = nearest_fixture(5, 180.0, 0.0, 0.05)
+    got = picks.nearest_feature(
+        spark.createDataFrame(points),
+        spark.createDataFrame(features).repartition(4),
+        radius,
+        cell_rows=2,
+        block_places=60,
+        block_points=30,
+    ).collect()
+    want = brute_nearest(points, features, radius)
+    assert len(got) == len(want)
+    for row in got:
+        feature, distance = want[row["point_id"]]
+        assert row["distance_m"] == pytest.approx(distance, abs=1e-4)
+        assert row["feature_id"] == feature or row["distance_m"] == pytest.approx(distance, abs=1e-7)
+
+
+def test_nearest_feature_sends_few_points_beyond_their_block(spark, monkeypatch):
+    """Cells far smaller than the gaps between places: points once met about ten cells at each level."""
+    sent = []
+    others = near.Blocks.others
+
+    def counted(self, points):
+        out = others(self, points)
+        sent.append((points.count(), out.count(), len(self.crowded)))
+        return out
+
+    monkeypatch.setattr(near.Blocks, "others", counted)
+    rng = np.random.default_rng(1)
+    spots = rng.uniform(0, 0.1, (8_000, 2))
+    features = pd.DataFrame({"feature_id": np.arange(4_000), "lon": spots[:4_000, 0], "lat": spots[:4_000, 1]})
+    points = pd.DataFrame({"point_id": np.arange(4_000), "lon": spots[4_000:, 0], "lat": spots[4_000:, 1]})
+    layer = spark.createDataFrame(features)
+    got = picks.nearest_feature(
+        spark.createDataFrame(points), layer, 500.0, cell_rows=1, max_levels=4, block_places=1_000
+    ).collect()
+    want = brute_nearest(points, features, 500.0)
+    assert {r["point_id"]: r["feature_id"] for r in got} == {p: f for p, (f, _) in want.items()}
+    (asked, more, splits), = sent
+    assert asked == 4_000 and splits > 0 and more < asked / 2
+
+
 def greedy(rows, interval):
     kept, until = [], {}
     for key, t, event in sorted(rows):
