@@ -24,11 +24,12 @@ done, never which pairs are found.
 
 Equal sets are one class of copies. Sets with a common signature are not paired with
 each other: each meets the signature's first set (a star), and that settles groups of
-near copies of any size in linear work. Only where a signature still holds sets of
-different components, the centres of their stars are compared, and sets around them only
-if the triangle inequality of the Jaccard distance leaves room for a link. Pairs whose
-sizes alone rule a link out are not compared. Many centres of one signature are screened
-in blocks, by their parities, so that only pairs with room for a link become rows.
+near copies of any size in linear work. Where a signature still holds sets of different
+components, they meet one more set of it, drawn by hash, ``MORE_STARS`` times; of signatures
+of the same sets one is kept. What is left in different components is screened in blocks,
+by parities, so that only pairs with room for a link become rows; sets of the largest
+component of a signature meet the others only. Pairs whose sizes alone rule a link out are
+not compared.
 
 A set also has parities: its tokens are dealt to buckets by hash, one bit a bucket says
 whether it holds an odd number of them. Each token that only one of two sets holds flips
@@ -71,8 +72,10 @@ CLASS_SETS = (3, 129)
 FREQUENT = 1 << 18
 # Partners of one set compared in one piece, and sets of one signature paired in one piece.
 PIECE = 256
-# Centres of one signature from which on they are screened in blocks, and the side of a block.
-BLOCK_FROM, BLOCK = 32, 4096
+# Stars of a signature beyond its first.
+MORE_STARS = 2
+# Sets of one signature beyond which they are screened in blocks, and the side of a block.
+BLOCK_FROM, BLOCK = 4, 4096
 # Parity bits of a set, by its size; beyond that many the bound is looser, never wrong.
 LEAST_BITS, MOST_BITS = 64, 1 << 15
 # Distances are quotients of counts far below 2 ** 40.
@@ -406,39 +409,68 @@ def folded(bits: list[bytes]) -> np.ndarray:
 
 
 def block_pairs(items: DataFrame, reach: float, side: int = BLOCK) -> DataFrame:
-    """Distinct pairs ``a < b`` of centres of a signature that their parities leave room for.
+    """Distinct pairs ``a < b`` of sets of a signature that their parities leave room for.
 
     ``items`` has ``sig, centre, comp, centre_n, radius, bits`` and ``items``, the number of
-    centres of the signature. They are dealt into pieces by hash, every two pieces are a
-    block of their own, and a task holds one block at a time. Only pairs that pass leave it.
+    sets of the signature. Small signatures with sets of about the same size share a block.
+    Of a large one, the sets of its largest component are dealt into pieces by hash, and all
+    others too; every two pieces that can hold a pair are a block of their own. A task holds
+    one block at a time. Only pairs that pass leave it.
     """
-    dealt = items.withColumn("pieces", F.ceil(F.col("items") / side))
-    dealt = dealt.withColumn("piece", F.pmod(F.xxhash64("centre"), F.col("pieces")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
-    columns = ["sig", F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q")]
-    sent = dealt.select(*columns, "piece", "centre", "comp", "centre_n", "radius", "bits")
+    top = items.filter(F.col("items") > side).groupBy("sig", "comp").agg(F.count("*").alias("top"))
+    top = top.groupBy("sig").agg(F.max_by("comp", "top").alias("top_comp"), F.max("top").alias("top"))
+    large = join_spread(items, materialize(top, "jaccard-top"), ["sig"], "top", items.count())
+    pieces = F.ceil((F.col("items") - F.col("top")) / side), F.ceil(F.col("top") / side)
+    large = large.withColumns({"others": pieces[0], "tops": pieces[1], "is_top": F.col("comp") == F.col("top_comp")})
+    own = F.pmod(F.xxhash64("centre"), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others")))
+    large = large.withColumn("piece", own + F.when(F.col("is_top"), F.col("others")).otherwise(0))
+    last = F.when(F.col("is_top"), F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1
+    every = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last))
+    large = large.withColumn("other", F.explode(every))
+    columns = ["sig", "piece", "centre", "comp", "centre_n", "radius", "bits"]
+    meeting = F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q")
+    sent = large.select(F.col("sig").alias("block"), *meeting, *columns)
+
+    small = items.filter(F.col("items") <= side)
+    few = small.filter(F.col("items") <= side // 16)
+    # Small signatures of one octave of sizes, as many as make about a block.
+    octave = F.floor(F.log2(F.min("centre_n"))).alias("octave")
+    octaves = few.groupBy("sig").agg(octave)
+    shares = F.ceil(F.lit(few.count()) / side)
+    octaves = octaves.withColumn("block", F.xxhash64("octave", F.pmod(F.xxhash64("sig"), shares)))
+    zero = F.lit(0).cast("long")
+    whole = [zero.alias("p"), zero.alias("q"), "sig", zero.alias("piece"), *columns[2:]]
+    sent = sent.unionByName(few.join(octaves.select("sig", "block"), "sig").select("block", *whole))
+    alone = small.filter(F.col("items") > side // 16)
+    sent = sent.unionByName(alone.select(F.col("sig").alias("block"), *whole))
 
     def screen(block: pa.Table) -> pa.Table:
         block = block.combine_chunks()
-        piece, ids, comp, n, radius = (
-            block[c].to_numpy() for c in ("piece", "centre", "comp", "centre_n", "radius")
+        sig, piece, ids, comp, n, radius = (
+            block[c].to_numpy() for c in ("sig", "piece", "centre", "comp", "centre_n", "radius")
         )
         words = folded(block["bits"].to_pylist())
         first, last = block["p"][0].as_py(), block["q"][0].as_py()
-        right = np.flatnonzero(piece == last)
+        order = np.lexsort((n, comp, sig))
         found = []
-        for place, i in enumerate(np.flatnonzero(piece == first)):
-            # Within one piece, each set meets those after it.
-            js = right[place + 1 :] if first == last else right
-            js = js[comp[js] != comp[i]]
-            apart = np.bitwise_count(words[js] ^ words[i]).sum(axis=1, dtype=np.int64)
-            apart = np.maximum(apart, np.abs(n[js] - n[i]))
-            js = js[2 * apart / (n[js] + n[i] + apart) <= radius[js] + radius[i] + reach + ROUNDING]
-            found.append(np.sort(np.stack([np.full(len(js), ids[i]), ids[js]]), axis=0))
+        for group in np.split(order, np.flatnonzero(np.diff(sig[order])) + 1):
+            right = group[piece[group] == last]
+            # Within one piece, each set meets those of later components.
+            after = np.searchsorted(comp[right], comp[right], side="right")
+            for place, i in enumerate(group[piece[group] == first]):
+                js = right[after[place] :] if first == last else right[comp[right] != comp[i]]
+                gap = np.abs(n[js] - n[i])
+                js = js[2 * gap / (n[js] + n[i] + gap) <= radius[js] + radius[i] + reach + ROUNDING]
+                if not len(js):
+                    continue
+                apart = np.bitwise_count(words[js] ^ words[i]).sum(axis=1, dtype=np.int64)
+                apart = np.maximum(apart, np.abs(n[js] - n[i]))
+                js = js[2 * apart / (n[js] + n[i] + apart) <= radius[js] + radius[i] + reach + ROUNDING]
+                found.append(np.sort(np.stack([np.full(len(js), ids[i]), ids[js]]), axis=0))
         a, b = np.concatenate([np.zeros((2, 0), dtype=np.int64), *found], axis=1)
         return pa.table({"a": a, "b": b})
 
-    return sent.groupBy("sig", "p", "q").applyInArrow(screen, "a long, b long").distinct()
+    return sent.groupBy("block", "p", "q").applyInArrow(screen, "a long, b long").distinct()
 
 
 def _named(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -460,65 +492,56 @@ def stars(signed: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
     return members, pairs.select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
-    """Links ``a, b`` that connect all sets which link; ``signed`` is a stored table of ``sig, id, n``."""
-    reach = 1 - candidates.percent / 100
-    members, pairs = stars(signed, reach)
-    star = candidates.compared(pairs)
-    linked = star.filter("linked").select("a", "b")
+def next_stars(rest: DataFrame, reach: float, turn: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of each signature but one drawn by hash, and that one's pairs with other components."""
+    drawn = F.xxhash64(F.lit(turn), "id")
+    lead = [F.min_by(c, drawn).alias(f"lead_{c}") for c in ("id", "n", "comp")]
+    buckets = materialize(rest.groupBy("sig").agg(*lead, F.count("*").alias("members")), "jaccard-buckets")
+    members = join_spread(rest.drop("members"), buckets, ["sig"], "members", rest.count()).filter("id <> lead_id")
+    members = materialize(members.drop("members"), "jaccard-members")
+    discard(buckets)
+    pairs = members.filter((F.col("comp") != F.col("lead_comp")) & (size_distance("lead_n", "n") <= reach + ROUNDING))
+    return members, pairs.select(F.least("lead_id", "id").alias("a"), F.greatest("lead_id", "id").alias("b")).distinct()
+
 
-    # Signatures that still hold sets of different components.
+def unsettled(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """``sig, id, n, comp`` of signatures that still hold different components; of the same sets one signature."""
     named = materialize(_named(members.select("sig", "id", "n"), linked), "jaccard-named")
-    discard(members)
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"))
-    mixed = materialize(mixed.filter("low < high").select("sig", "members"), "jaccard-open")
-    if mixed.isEmpty():
-        return linked
-    rest = join_spread(named, mixed, ["sig"], "members", named.count())
-    centres = star.filter("linked").groupBy(F.col("b").alias("id")).agg(F.min("a").alias("centre"))
-    rest = rest.join(centres, "id", "left").withColumn("centre", F.coalesce("centre", "id"))
-    around = star.select(F.col("a").alias("centre"), F.col("b").alias("id"), F.col("distance").alias("off"))
-    rest = rest.join(around, ["centre", "id"], "left").withColumn("off", F.coalesce("off", F.lit(0.0)))
-    rest = materialize(rest.select("sig", "id", "n", "centre", "off", "comp"), "jaccard-rest")
+    digest = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"x{i}") for i in (1, 2)]
+    mixed = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"), *digest)
+    mixed = mixed.filter("low < high").groupBy("members", "x1", "x2").agg(F.min("sig").alias("sig"))
+    mixed = materialize(mixed.select("sig", "members"), "jaccard-open")
+    rest = materialize(join_spread(named, mixed, ["sig"], "members", named.count()), "jaccard-rest")
     discard(named)
+    return rest
 
-    # Sets around two centres can link only if these are not further apart than their radii allow.
-    radii = rest.groupBy("centre").agg(F.max("off").alias("radius"))
-    sizes = signed.select(F.col("id").alias("centre"), F.col("n").alias("centre_n")).distinct()
-    radii = materialize(radii.join(sizes, "centre"), "jaccard-centres")
-    at = rest.select("sig", "centre", "comp").distinct().join(radii, "centre")
-    at = materialize(at, "jaccard-at")
-    shared = at.groupBy("sig").agg(F.count("*").alias("items")).filter("items > 1")
-    at = join_spread(at, materialize(shared, "jaccard-shared"), ["sig"], "items", at.count())
-    few, many = at.filter(F.col("items") <= BLOCK_FROM).drop("items"), at.filter(F.col("items") > BLOCK_FROM)
-    bits = candidates.parities.select(F.col("id").alias("centre"), "bits")
-    room = F.col("a_radius") + F.col("b_radius") + reach + ROUNDING
-    possible = (F.col("a_comp") != F.col("b_comp")) & (size_distance("a_centre_n", "b_centre_n") <= room)
-    between = pairs_within(few, "sig", "centre", ["comp", "centre_n", "radius"], possible)
-    between = between.unionByName(block_pairs(many.join(bits, "centre"), reach)).distinct()
-    middle = candidates.compared(between.join(star.select("a", "b"), ["a", "b"], "left_anti"))
-    measured = star.unionByName(middle)
-    linked = measured.filter("linked").select("a", "b")
 
-    wide = measured.filter(~F.col("linked"))
-    for end in ("a", "b"):
-        wide = wide.join(radii.select(F.col("centre").alias(end), F.col("radius").alias(f"{end}_radius")), end)
-    near = wide.filter((F.col("distance") <= room) & (F.col("a_radius") + F.col("b_radius") > 0))
-    near = materialize(near.select("a", "b", F.col("distance").alias("apart")), "jaccard-near")
-    if near.isEmpty():
-        return linked
-    near = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "apart"))
-    near = near.withColumnsRenamed({"a": "a_centre", "b": "b_centre"})
-    again = _named(rest.drop("comp"), linked)
-    one = again.select("sig", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "centre", "off", "comp")])
-    two = again.select("sig", *[F.col(c).alias(f"b_{c}") for c in ("id", "n", "centre", "off", "comp")])
-    outer = one.join(near, "a_centre").join(two, ["sig", "b_centre"]).filter("a_id < b_id AND a_comp <> b_comp")
-    outer = outer.filter(
-        (F.col("apart") - F.col("a_off") - F.col("b_off") <= reach + ROUNDING)
-        & (size_distance("a_n", "b_n") <= reach + ROUNDING)
-    )
-    outer = outer.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
-    last = candidates.compared(outer.join(measured.select("a", "b"), ["a", "b"], "left_anti"))
+def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
+    """Links ``a, b`` that connect all sets which link; ``signed`` is a stored table of ``sig, id, n``."""
+    reach = 1 - candidates.percent / 100
+    members, pairs = stars(signed, reach)
+    measured = candidates.compared(pairs)
+    linked = measured.filter("linked").select("a", "b")
+    for turn in range(MORE_STARS + 1):
+        rest = unsettled(members, linked)
+        discard(members)
+        if rest.isEmpty():
+            return linked
+        if turn < MORE_STARS:
+            members, pairs = next_stars(rest, reach, turn)
+            measured = measured.unionByName(candidates.compared(pairs.join(measured, ["a", "b"], "left_anti")))
+            linked = measured.filter("linked").select("a", "b")
+
+    # Sets of one signature, but of different components.
+    sizes = rest.withColumnsRenamed({"id": "centre", "n": "centre_n", "members": "items"})
+    few, many = sizes.filter(F.col("items") <= BLOCK_FROM), sizes.filter(F.col("items") > BLOCK_FROM)
+    room = size_distance("a_centre_n", "b_centre_n") <= reach + ROUNDING
+    between = pairs_within(few.drop("items"), "sig", "centre", ["comp", "centre_n"], (F.col("a_comp") != F.col("b_comp")) & room)
+    bits = candidates.parities.select(F.col("id").alias("centre"), "bits")
+    many = materialize(many.join(bits, "centre").withColumn("radius", F.lit(0.0)), "jaccard-blocks")
+    between = between.unionByName(block_pairs(many, reach)).distinct()
+    last = candidates.compared(between.join(measured.select("a", "b"), ["a", "b"], "left_anti"))
+    discard(many)
     return linked.unionByName(last.filter("linked").select("a", "b"))
 
 

@@ -194,3 +194,30 @@ def test_group_of_near_copies_is_a_star(spark, monkeypatch):
     monkeypatch.setattr(jaccard.Candidates, "compared", counted)
     assert {c for _, _, c in got(spark.createDataFrame(rows, SCHEMA))} == {0}
     assert sum(seen) < 10 * len(rows)
+
+
+def test_groups_around_near_centres_are_not_paired(spark, monkeypatch):
+    """Groups too far apart to link, whose radii alone leave room, give no pair for every two of their sets."""
+    draw = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(40):
+        centre = list(base)
+        for at in draw.sample(range(120), 2):
+            centre[at] = f"c{i}-{at}"
+        for j in range(4):
+            one = list(centre)
+            for at in draw.sample(range(120), min(j, 2)):
+                one[at] = f"d{i}-{j}-{at}"
+            rows.append((len(rows), " ".join(one)))
+    seen = []
+    bounded = jaccard.Candidates.bounded
+
+    def counted(self, pairs):
+        out = bounded(self, pairs)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard.Candidates, "bounded", counted)
+    assert got(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+    assert sum(seen) < 10 * len(rows), seen
