@@ -15,6 +15,8 @@ from layerspark.session import BROADCAST_ROWS, broadcast_if_small, materialize
 # Places of one block, unless it is a smallest cell, and points that meet them in one task.
 BLOCK_PLACES = 1 << 16
 BLOCK_POINTS = 1 << 17
+# Rows that one task reads from a shuffle, about.
+TASK_ROWS = 1 << 19
 # Points searched at once, and pairs of point and place.
 POINTS_AT_ONCE, PAIRS_AT_ONCE = 1 << 14, 1 << 20
 # Bits of a place within its block, across and up.
@@ -26,6 +28,14 @@ BLOCK = ["_t", "_bx", "_by"]
 POINT = ["_p", "p_lon", "p_lat"]
 
 
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to tasks of about ``TASK_ROWS`` of ``rows`` rows.
+
+    Without a number, tasks are as many as cores or bytes make, and compressed bytes say little of rows.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)), *keys)
+
+
 class Grid:
     """Lon/lat grid; a cell of level k is at least radius / 4**k wide and high at the points."""
 
@@ -170,8 +180,10 @@ class Blocks:
         """
         x, y = self.grid.cells(F.col("p_lon"), F.col("p_lat"), self.grid.max_levels)
         asked = points.select(*POINT, "bound", *BLOCK, x.alias("_x"), y.alias("_y"))
-        pieces = asked.groupBy(*BLOCK).agg(F.ceil(F.count(F.lit(1)) / F.lit(block_points)).alias("_n"))
-        pieces = broadcast_if_small(materialize(pieces.where("_n > 1"), "pieces"))
+        pieces = asked.groupBy(*BLOCK).agg(F.count(F.lit(1)).alias("_rows"))
+        pieces = materialize(pieces.withColumn("_n", F.ceil(F.col("_rows") / F.lit(block_points))), "pieces")
+        rows = (pieces.agg(F.sum("_rows")).first()[0] or 0) + self.places.count()
+        pieces = broadcast_if_small(pieces.where("_n > 1").drop("_rows"))
         asked = asked.join(pieces, BLOCK, "left")
         piece = F.coalesce(F.pmod(F.xxhash64(*POINT), F.col("_n")), F.lit(0).cast("long"))
         asked = asked.withColumn("_piece", piece).drop("_n")
@@ -183,7 +195,8 @@ class Blocks:
         schema += f", near array<struct<id:{kinds['_f']},lon:{kinds['f_lon']},lat:{kinds['f_lat']}>>"
         keys = [*BLOCK, "_piece"]
         search = searcher(self.grid.columns, self.grid.rows, self.grid.max_levels, self.last, cell_rows)
-        found = asked.groupBy(*keys).cogroup(met.groupBy(*keys)).applyInArrow(search, schema)
+        asked, met = (spread(side, rows, *keys).groupBy(*keys) for side in (asked, met))
+        found = asked.cogroup(met).applyInArrow(search, schema)
 
         def measured(place: Column) -> Column:
             distance = geo.haversine_m(F.col("p_lon"), F.col("p_lat"), place["lon"], place["lat"])

@@ -96,12 +96,13 @@ def nearest_feature(
     count once; a coordinate that is null or not finite has no place.
     """
     known = (F.abs(F.col(lon)) < F.lit(float("inf"))) & (F.abs(F.col(lat)) < F.lit(float("inf")))
-    # One row per place, combined before the shuffle: the lowest id wins any tie there.
-    places = (
-        layer.where(known)
-        .groupBy(F.col(lon).alias("f_lon"), F.col(lat).alias("f_lat"))
-        .agg(F.min(id_col).alias("_f"))
-    )
+    # One row per place, combined before the shuffle: the lowest id wins any tie there. A file
+    # may have far more rows than its bytes say, so they are dealt to tasks by number before that.
+    placed = layer.where(known).select(id_col, lon, lat)
+    rows = placed.count()
+    if rows > near.TASK_ROWS * layer.sparkSession.sparkContext.defaultParallelism:
+        placed = near.spread(placed, rows, id_col, lon, lat)
+    places = placed.groupBy(F.col(lon).alias("f_lon"), F.col(lat).alias("f_lat")).agg(F.min(id_col).alias("_f"))
     asked = points.where(known).select(
         F.col(point_id).alias("_p"), F.col(lon).alias("p_lon"), F.col(lat).alias("p_lat")
     )

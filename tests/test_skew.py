@@ -173,6 +173,26 @@ def test_nearest_feature_sends_few_points_beyond_their_block(spark, monkeypatch)
     assert asked == 4_000 and splits > 0 and more < asked / 2
 
 
+def test_nearest_feature_deals_rows_to_tasks_by_number(spark, monkeypatch):
+    """The tasks that search follow the rows, not the session's partitions or the bytes of the shuffle."""
+    monkeypatch.setattr(near, "TASK_ROWS", 100, raising=False)
+    tasks, write = {}, picks.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        tasks[name] = df.rdd.getNumPartitions()
+        return out
+
+    monkeypatch.setattr(picks, "materialize", counted)
+    points, features = nearest_fixture(7, 10.0, 50.0, 0.1)
+    layer = spark.createDataFrame(features)
+    got = picks.nearest_feature(spark.createDataFrame(points), layer, 2_000.0, block_places=60, block_points=30)
+    want = brute_nearest(points, features, 2_000.0)
+    assert {r["point_id"]: r["feature_id"] for r in got.collect()} == {p: f for p, (f, _) in want.items()}
+    # 300 points and 601 places.
+    assert tasks["near"] >= 9
+
+
 def greedy(rows, interval):
     kept, until = [], {}
     for key, t, event in sorted(rows):
