@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerspark.session import materialize
+from layerspark.session import materialize_observed
 
 MAX_ROUNDS = 100
 
@@ -27,9 +27,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.union(own).distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    got = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return tuple(got)
+def _written(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges, written once, with their count and a checksum."""
+    checksum = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    return materialize_observed(edges, "components", rows=F.count(F.lit(1)), checksum=checksum)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -41,13 +42,12 @@ def components(links: DataFrame) -> DataFrame:
     executor costs at most a round; only a count and a checksum reach the driver.
     """
     edges = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
-    edges = materialize(edges, "components")
-    state = _state(edges)
+    edges, state = _written(edges)
     for _ in range(MAX_ROUNDS):
-        if not state[0]:
+        if not state["rows"]:
             break
-        edges = materialize(_small_star(_large_star(edges)), "components")
-        before, state = state, _state(edges)
+        before = state
+        edges, state = _written(_small_star(_large_star(edges)))
         if before == state:
             break
     else:

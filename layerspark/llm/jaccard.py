@@ -25,8 +25,8 @@ done, never which pairs are found.
 Equal sets are one class of copies. Sets with a common signature are not paired with
 each other: each meets the signature's first set (a star), and that settles groups of
 near copies of any size in linear work. Where a signature still holds sets of different
-components, they meet one more set of it, drawn by hash, ``MORE_STARS`` times; of signatures
-of the same sets one is kept. What is left in different components is screened in blocks,
+components, they meet one more set of it, drawn by hash, ``MORE_STARS`` times at most and
+as long as each time settles half of the rows; of signatures of the same sets one is kept. What is left in different components is screened in blocks,
 by parities, so that only pairs with room for a link become rows; sets of the largest
 component of a signature meet the others only. Pairs whose sizes alone rule a link out are
 not compared.
@@ -57,7 +57,7 @@ from pyspark.sql import functions as F
 
 from layerspark.llm.common import join_spread, most_frequent, text_or_empty
 from layerspark.llm.graph import components
-from layerspark.session import BROADCAST_ROWS, discard, materialize
+from layerspark.session import BROADCAST_ROWS, discard, materialize, materialize_observed
 
 SHINGLE = 3
 PERCENT = 90
@@ -200,9 +200,10 @@ def frequent_tokens(sets: DataFrame, limits: tuple[int, int] = CLASS_SETS, most:
     in_zone = F.filter("head", lambda h: (F.col("n_shingles") < WHOLE) | ((h >= 0) & (h < F.lit(ZONE))))
     counts = sets.select(F.explode(in_zone).alias("token")).groupBy("token").count()
     counts = materialize(counts.filter(F.col("count") >= limits[0]), "jaccard-frequent")
-    rows = most_frequent(counts, most).orderBy("token").collect()
-    tokens = np.array([r["token"] for r in rows], dtype=np.int64).view(np.uint64)
-    return tokens, np.array([3 if r["count"] >= limits[1] else 2 for r in rows], dtype=np.int64)
+    # As Arrow: as many Row objects would take many times the memory in the driver.
+    rows = most_frequent(counts, most).orderBy("token").toArrow()
+    tokens = rows["token"].to_numpy().astype(np.int64).view(np.uint64)
+    return tokens, np.where(rows["count"].to_numpy() >= limits[1], 3, 2).astype(np.int64)
 
 
 def classes_of(tokens: np.ndarray, known: np.ndarray, kinds: np.ndarray) -> np.ndarray:
@@ -290,8 +291,8 @@ class Candidates:
         pairs = materialize(pairs, "jaccard-pairs")
         sides = [self.parities.withColumnsRenamed({"id": s, "n": f"n_{s}", "bits": f"bits_{s}"}) for s in "ab"]
         counts = pairs.groupBy("a").agg(F.count("*").alias("partners")).join(sides[0], "a")
-        counts = materialize(counts, "jaccard-partners")
-        met = join_spread(pairs, counts, ["a"], "partners", pairs.count()).join(sides[1], "b")
+        counts, seen = materialize_observed(counts, "jaccard-partners", pairs=F.sum("partners"))
+        met = join_spread(pairs, counts, ["a"], "partners", seen["pairs"] or 0).join(sides[1], "b")
         percent = self.percent
 
         def bound(batches: Batches) -> Batches:
@@ -313,13 +314,13 @@ class Candidates:
     def texts(self, ids: DataFrame) -> DataFrame:
         """``id, text`` of the given ids; of copies of a text one row."""
         keys = ["t1", "t2"]
-        copies = self.rows.groupBy(*keys).agg(F.count("*").alias("copies"))
         wanted = self.rows.select(F.col("row").alias("id"), *keys).join(ids, "id")
-        wanted = materialize(wanted.join(copies, keys), "jaccard-wanted")
-        if wanted.count() <= BROADCAST_ROWS:
+        wanted, seen = materialize_observed(wanted, "jaccard-wanted", rows=F.count(F.lit(1)))
+        if seen["rows"] <= BROADCAST_ROWS:
             joined = self.docs.join(F.broadcast(wanted), keys)
         else:
-            joined = join_spread(self.docs, wanted, keys, "copies", self.rows.count())
+            copies = self.rows.groupBy(*keys).agg(F.count("*").alias("copies"))
+            joined = join_spread(self.docs, wanted.join(copies, keys), keys, "copies", self.rows.count())
         texts = materialize(joined.select("id", "text").dropDuplicates(["id"]), "jaccard-texts")
         discard(wanted)
         return texts
@@ -336,8 +337,9 @@ class Candidates:
         texts = self.texts(ids)
         # A set with many partners meets them in pieces.
         counts = pairs.groupBy("a").agg(F.count("*").alias("partners"))
-        counts = materialize(counts.withColumn("pieces", F.ceil(F.col("partners") / PIECE)), "jaccard-partners")
-        split = join_spread(pairs, counts, ["a"], "partners", pairs.count())
+        counts = counts.withColumn("pieces", F.ceil(F.col("partners") / PIECE))
+        counts, seen = materialize_observed(counts, "jaccard-partners", pairs=F.sum("partners"))
+        split = join_spread(pairs, counts, ["a"], "partners", seen["pairs"] or 0)
         split = split.withColumn("piece", F.pmod(F.xxhash64("b"), F.col("pieces")))
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
         left = counts.join(texts.withColumnRenamed("id", "a"), "a").withColumn("piece", every)
@@ -408,18 +410,27 @@ def folded(bits: list[bytes]) -> np.ndarray:
     return np.array([np.bitwise_xor.reduce(one.reshape(-1, least), axis=0) for one in words])
 
 
-def block_pairs(items: DataFrame, reach: float, side: int = BLOCK) -> DataFrame:
+def block_pairs(items: DataFrame, reach: float, side: int = BLOCK, parities: DataFrame | None = None) -> DataFrame:
     """Distinct pairs ``a < b`` of sets of a signature that their parities leave room for.
 
-    ``items`` has ``sig, centre, comp, centre_n, radius, bits`` and ``items``, the number of
-    sets of the signature. Small signatures with sets of about the same size share a block.
+    ``items`` has ``sig, centre, comp, centre_n, radius`` and ``items``, the number of sets
+    of the signature. ``parities`` has ``centre, bits``; without it ``items`` holds the bits.
+    Small signatures with sets of about the same size share a block, all those with the same
+    first set the same one, so that sets with many signatures in common meet in few blocks.
     Of a large one, the sets of its largest component are dealt into pieces by hash, and all
     others too; every two pieces that can hold a pair are a block of their own. A task holds
-    one block at a time. Only pairs that pass leave it.
+    one block at a time, where each set comes once with its bits and all its signatures. Only
+    pairs that pass leave it.
     """
+    if parities is None:
+        parities = items.select("centre", "bits").dropDuplicates(["centre"])
+    if "first" not in items.columns:
+        items = items.join(items.groupBy("sig").agg(F.min("centre").alias("first"), F.min("centre_n").alias("least_n")), "sig")
+    total = items.count()
+    columns = ["sig", "piece", "centre", "comp", "centre_n", "radius"]
     top = items.filter(F.col("items") > side).groupBy("sig", "comp").agg(F.count("*").alias("top"))
     top = top.groupBy("sig").agg(F.max_by("comp", "top").alias("top_comp"), F.max("top").alias("top"))
-    large = join_spread(items, materialize(top, "jaccard-top"), ["sig"], "top", items.count())
+    large = join_spread(items, materialize(top, "jaccard-top"), ["sig"], "top", total)
     pieces = F.ceil((F.col("items") - F.col("top")) / side), F.ceil(F.col("top") / side)
     large = large.withColumns({"others": pieces[0], "tops": pieces[1], "is_top": F.col("comp") == F.col("top_comp")})
     own = F.pmod(F.xxhash64("centre"), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others")))
@@ -427,33 +438,31 @@ def block_pairs(items: DataFrame, reach: float, side: int = BLOCK) -> DataFrame:
     last = F.when(F.col("is_top"), F.col("others")).otherwise(F.col("others") + F.col("tops")) - 1
     every = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last))
     large = large.withColumn("other", F.explode(every))
-    columns = ["sig", "piece", "centre", "comp", "centre_n", "radius", "bits"]
     meeting = F.least("piece", "other").alias("p"), F.greatest("piece", "other").alias("q")
     sent = large.select(F.col("sig").alias("block"), *meeting, *columns)
 
     small = items.filter(F.col("items") <= side)
-    few = small.filter(F.col("items") <= side // 16)
     # Small signatures of one octave of sizes, as many as make about a block.
-    octave = F.floor(F.log2(F.min("centre_n"))).alias("octave")
-    octaves = few.groupBy("sig").agg(octave)
-    shares = F.ceil(F.lit(few.count()) / side)
-    octaves = octaves.withColumn("block", F.xxhash64("octave", F.pmod(F.xxhash64("sig"), shares)))
+    shared = F.xxhash64(F.floor(F.log2("least_n")), F.pmod(F.xxhash64("first"), F.lit(-(-total // side) or 1)))
     zero = F.lit(0).cast("long")
-    whole = [zero.alias("p"), zero.alias("q"), "sig", zero.alias("piece"), *columns[2:]]
-    sent = sent.unionByName(few.join(octaves.select("sig", "block"), "sig").select("block", *whole))
-    alone = small.filter(F.col("items") > side // 16)
-    sent = sent.unionByName(alone.select(F.col("sig").alias("block"), *whole))
+    block = F.when(F.col("items") <= side // 16, shared).otherwise(F.col("sig")).alias("block")
+    sent = sent.unionByName(small.select(block, zero.alias("p"), zero.alias("q"), "sig", zero.alias("piece"), *columns[2:]))
+    # One row per block and set; hashing by the set serves the join with its bits too.
+    place = ["centre", "block", "p", "q", "piece"]
+    once = [F.first(c).alias(c) for c in ("comp", "centre_n", "radius")]
+    sent = sent.repartition("centre").groupBy(*place).agg(F.collect_list("sig").alias("sigs"), *once)
+    sent = sent.join(parities.select("centre", "bits"), "centre")
 
     def screen(block: pa.Table) -> pa.Table:
         block = block.combine_chunks()
-        sig, piece, ids, comp, n, radius = (
-            block[c].to_numpy() for c in ("sig", "piece", "centre", "comp", "centre_n", "radius")
-        )
+        piece, ids, comp, n, radius = (block[c].to_numpy() for c in ("piece", "centre", "comp", "centre_n", "radius"))
         words = folded(block["bits"].to_pylist())
         first, last = block["p"][0].as_py(), block["q"][0].as_py()
-        order = np.lexsort((n, comp, sig))
-        found = []
-        for group in np.split(order, np.flatnonzero(np.diff(sig[order])) + 1):
+        sigs = block["sigs"].combine_chunks()
+        sig, at = sigs.flatten().to_numpy(), np.repeat(np.arange(len(ids)), sigs.value_lengths().to_numpy())
+        order = np.lexsort((n[at], comp[at], sig))
+        found = [np.zeros((2, 0), dtype=np.int64)]
+        for group in np.split(at[order], np.flatnonzero(np.diff(sig[order])) + 1):
             right = group[piece[group] == last]
             # Within one piece, each set meets those of later components.
             after = np.searchsorted(comp[right], comp[right], side="right")
@@ -467,15 +476,15 @@ def block_pairs(items: DataFrame, reach: float, side: int = BLOCK) -> DataFrame:
                 apart = np.maximum(apart, np.abs(n[js] - n[i]))
                 js = js[2 * apart / (n[js] + n[i] + apart) <= radius[js] + radius[i] + reach + ROUNDING]
                 found.append(np.sort(np.stack([np.full(len(js), ids[i]), ids[js]]), axis=0))
-        a, b = np.concatenate([np.zeros((2, 0), dtype=np.int64), *found], axis=1)
+        a, b = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": a, "b": b})
 
     return sent.groupBy("block", "p", "q").applyInArrow(screen, "a long, b long").distinct()
 
 
-def _named(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` with ``comp``, the component of ``id``."""
-    roots = components(links).select(F.col("node").alias("id"), F.col("root"))
+def _named(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with ``comp``, the component of ``id``; ``roots`` as ``components`` returns them."""
+    roots = roots.select(F.col("node").alias("id"), F.col("root"))
     return members.join(roots, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
 
 
@@ -504,16 +513,24 @@ def next_stars(rest: DataFrame, reach: float, turn: int) -> tuple[DataFrame, Dat
     return members, pairs.select(F.least("lead_id", "id").alias("a"), F.greatest("lead_id", "id").alias("b")).distinct()
 
 
-def unsettled(members: DataFrame, linked: DataFrame) -> DataFrame:
-    """``sig, id, n, comp`` of signatures that still hold different components; of the same sets one signature."""
-    named = materialize(_named(members.select("sig", "id", "n"), linked), "jaccard-named")
+def unsettled(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
+    """Signatures that still hold different components, and how many rows were looked at and are left.
+
+    The rows are ``sig, id, n, comp`` with the number, first and least size of the signature's
+    ``members``; of signatures of the same sets one is kept.
+    """
+    named = _named(members.select("sig", "id", "n"), roots)
+    named, seen = materialize_observed(named, "jaccard-named", rows=F.count(F.lit(1)))
     digest = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"x{i}") for i in (1, 2)]
-    mixed = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"), *digest)
-    mixed = mixed.filter("low < high").groupBy("members", "x1", "x2").agg(F.min("sig").alias("sig"))
-    mixed = materialize(mixed.select("sig", "members"), "jaccard-open")
-    rest = materialize(join_spread(named, mixed, ["sig"], "members", named.count()), "jaccard-rest")
+    known = [F.count("*").alias("members"), F.min("id").alias("first"), F.min("n").alias("least_n")]
+    mixed = named.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *known, *digest)
+    mixed = mixed.filter("low < high").groupBy("members", "first", "least_n", "x1", "x2").agg(F.min("sig").alias("sig"))
+    mixed, left = materialize_observed(
+        mixed.select("sig", "members", "first", "least_n"), "jaccard-open", rows=F.sum("members")
+    )
+    rest = materialize(join_spread(named, mixed, ["sig"], "members", seen["rows"]), "jaccard-rest")
     discard(named)
-    return rest
+    return rest, seen["rows"], left["rows"] or 0
 
 
 def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
@@ -523,25 +540,28 @@ def links(signed: DataFrame, candidates: Candidates) -> DataFrame:
     measured = candidates.compared(pairs)
     linked = measured.filter("linked").select("a", "b")
     for turn in range(MORE_STARS + 1):
-        rest = unsettled(members, linked)
+        roots = components(linked)
+        # A star around each root links the same sets and settles in fewer rounds.
+        linked = roots.select(F.col("root").alias("a"), F.col("node").alias("b")).filter("a < b")
+        rest, looked_at, left = unsettled(members, roots)
         discard(members)
-        if rest.isEmpty():
+        if not left:
             return linked
-        if turn < MORE_STARS:
-            members, pairs = next_stars(rest, reach, turn)
-            measured = measured.unionByName(candidates.compared(pairs.join(measured, ["a", "b"], "left_anti")))
-            linked = measured.filter("linked").select("a", "b")
+        if turn == MORE_STARS or 2 * left > looked_at:
+            break
+        members, pairs = next_stars(rest.drop("first", "least_n"), reach, turn)
+        new = candidates.compared(pairs.join(measured, ["a", "b"], "left_anti"))
+        measured = measured.unionByName(new)
+        linked = linked.unionByName(new.filter("linked").select("a", "b"))
 
     # Sets of one signature, but of different components.
     sizes = rest.withColumnsRenamed({"id": "centre", "n": "centre_n", "members": "items"})
     few, many = sizes.filter(F.col("items") <= BLOCK_FROM), sizes.filter(F.col("items") > BLOCK_FROM)
     room = size_distance("a_centre_n", "b_centre_n") <= reach + ROUNDING
-    between = pairs_within(few.drop("items"), "sig", "centre", ["comp", "centre_n"], (F.col("a_comp") != F.col("b_comp")) & room)
+    between = pairs_within(few.select("sig", "centre", "comp", "centre_n"), "sig", "centre", ["comp", "centre_n"], (F.col("a_comp") != F.col("b_comp")) & room)
     bits = candidates.parities.select(F.col("id").alias("centre"), "bits")
-    many = materialize(many.join(bits, "centre").withColumn("radius", F.lit(0.0)), "jaccard-blocks")
-    between = between.unionByName(block_pairs(many, reach)).distinct()
+    between = between.unionByName(block_pairs(many.withColumn("radius", F.lit(0.0)), reach, parities=bits)).distinct()
     last = candidates.compared(between.join(measured.select("a", "b"), ["a", "b"], "left_anti"))
-    discard(many)
     return linked.unionByName(last.filter("linked").select("a", "b"))
 
 
@@ -573,7 +593,7 @@ def join_documents(
     discard(sets)
     found = materialize(links(signed, Candidates(docs, text, slim, odd, percent, shingle, seed)), "jaccard-links")
     discard(signed)
-    named = _named(copies.withColumnRenamed("row", "id"), found)
+    named = _named(copies.withColumnRenamed("row", "id"), components(found))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = named.join(least, "comp").select(*digest, "component_id", "copies")
     slim = slim.select("doc_id", "n_shingles", *digest)

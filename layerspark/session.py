@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when a count shows at most this many rows.
@@ -90,6 +90,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return stored
 
 
+def materialize_observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and aggregates of the rows taken while they are written.
+
+    Saves the query that would read the table again for a count.
+    """
+    seen = Observation()
+    stored = materialize(df.observe(seen, *[m.alias(n) for n, m in metrics.items()]), name)
+    return stored, seen.get
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete scratch tables of ``materialize`` that nothing reads any more.
 
